@@ -1,0 +1 @@
+"""Streaming form of the word count (same expressions over a file stream)."""
