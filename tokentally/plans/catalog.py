@@ -22,6 +22,7 @@ from tokentally.plans.timing import timed_word_count
 from tokentally.session import fresh_path
 from tokentally.sinks.text import format_pairs, write_counts
 from tokentally.sources.results import read_counts, result_manifest
+from tokentally.sources.tables import read_table
 from tokentally.sources.text import read_lines, split_lines
 
 # Fixed value: the literal the line and token filters look for in the tables.
@@ -31,8 +32,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*cols) if cols else df
+    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", *cols)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
