@@ -28,11 +28,21 @@ from tokentally.sources.text import read_lines, split_lines
 # Fixed value: the literal the line and token filters look for in the tables.
 NEEDLE = "icense"
 
+# Types of the driver-table columns the catalog reads.
+TABLE_COLUMNS = {
+    "documents": "doc_id bigint, text string",
+    "conversations": "conv_id bigint, text string",
+    "pages": "page_id bigint, html string",
+    "part": "p_partkey bigint, p_name string",
+    "benchmark": "item_id bigint, text string",
+}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", *cols)
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return read_table(spark, path, *cols, schema=TABLE_COLUMNS.get(name))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,10 +26,20 @@ def widen_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 
 
 def read_table(
-    spark: SparkSession, path: str, *cols: str, widen: bool = True
+    spark: SparkSession,
+    path: str,
+    *cols: str,
+    schema: str | None = None,
+    widen: bool = True,
 ) -> DataFrame:
-    """Read a Parquet table with only ``cols`` (pruned at the scan)."""
-    df = spark.read.parquet(path)
+    """Read a Parquet table with only ``cols`` (pruned at the scan).
+
+    ``schema`` is a DDL string of the columns to read. Given, it spares the
+    small job that reads a file footer to infer the schema; columns are then
+    matched by name.
+    """
+    reader = spark.read.schema(schema) if schema else spark.read
+    df = reader.parquet(path)
     if cols:
         df = df.select(*cols)
     return widen_scan(df) if widen else df
