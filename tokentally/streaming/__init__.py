@@ -1 +1,10 @@
 """Streaming form of the word count (same expressions over a file stream)."""
+
+from tokentally.streaming.wordcount import (
+    current_counts,
+    start_text_counts,
+    stream_lines,
+    stream_word_count,
+)
+
+__all__ = ["current_counts", "start_text_counts", "stream_lines", "stream_word_count"]

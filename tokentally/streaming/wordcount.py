@@ -1,0 +1,75 @@
+"""Running word count over a growing folder of text files.
+
+The batch expressions, unchanged, over ``readStream``: each micro-batch is
+tokenised and partially aggregated, then merged into per-word state (the
+state store holds one row per distinct word, spread by the shuffle on
+``word``). In ``update`` mode a batch emits only the words it changed, with
+their new totals; ``start_text_counts`` writes each batch as ``(word,count)``
+lines under ``batch_id=N`` and ``current_counts`` reads the latest total of
+every word back with one aggregate.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from tokentally.functions.text import pair_count, pair_word
+from tokentally.operators.counts import word_count
+from tokentally.session import fresh_path
+from tokentally.sinks.text import format_pairs
+
+
+def stream_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Lines of the text files arriving in ``path`` (same rules as ``read_lines``)."""
+    reader = spark.readStream.format("text")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.load(path).select(F.make_valid_utf8("value").alias("value"))
+
+
+def stream_word_count(
+    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+) -> DataFrame:
+    """Streaming ``[word, cnt]``: running totals of every word seen so far."""
+    return word_count(stream_lines(spark, path, max_files_per_trigger), "value")
+
+
+def start_text_counts(
+    counts: DataFrame,
+    path: str,
+    checkpoint: str | None = None,
+    *,
+    available_now: bool = True,
+) -> StreamingQuery:
+    """Start writing ``counts`` (update mode) as text, one folder per batch.
+
+    A batch folder is overwritten if its batch is run again after a failure,
+    so the output stays exactly-once together with the checkpoint. The
+    checkpoint defaults to a new folder under ``spark.checkpoint.dir``.
+    """
+    spark = counts.sparkSession
+    checkpoint = checkpoint or fresh_path(spark, "stream-checkpoint")
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        format_pairs(batch).write.mode("overwrite").text(f"{path}/batch_id={batch_id}")
+
+    writer = (
+        counts.writeStream.outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(write_batch)
+    )
+    writer = writer.trigger(availableNow=True) if available_now else writer
+    return writer.start()
+
+
+def current_counts(spark: SparkSession, path: str) -> DataFrame:
+    """The latest total of every word written by ``start_text_counts``."""
+    lines = spark.read.text(path)
+    batches = lines.select(
+        pair_word("value").alias("word"),
+        pair_count("value").alias("cnt"),
+        F.col("batch_id").cast("bigint").alias("batch_id"),
+    )
+    return batches.groupBy("word").agg(F.max_by("cnt", "batch_id").alias("cnt"))
