@@ -146,3 +146,14 @@ def test_sum_of_counts_is_token_count(spark, tmp_path):
     lines = read_lines(spark, str(path))
     total = word_count(lines).agg(F.sum("cnt")).collect()[0][0]
     assert total == 3 + 1 + 3 + 1
+
+
+def test_command_line_job(spark, tmp_path, capsys):
+    from tokentally.__main__ import main
+
+    (tmp_path / "in.txt").write_bytes(b"to be or\nnot  to be\n")
+    out = main([str(tmp_path / "in.txt"), str(tmp_path / "out")])
+    printed = capsys.readouterr().out
+    assert "time in ms :" in printed
+    assert {r.word: r.cnt for r in read_counts(spark, out).collect()} == {
+        "to": 2, "be": 2, "or": 1, "not": 1, "": 1}

@@ -45,7 +45,14 @@ def shared_dir(spark: SparkSession) -> str:
     Raises on a cluster when the setting is missing: a temporary folder of
     the driver machine is not visible to executors.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except (AttributeError, NotImplementedError):
+        # A remote (Connect) session: use the configured folder as it is.
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current

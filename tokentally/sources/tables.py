@@ -19,8 +19,12 @@ def widen_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     Call it on a scan, not on a plan that already shuffles: counting the
     splits plans the scan but runs no job.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except (AttributeError, NotImplementedError):
+        return df  # a remote (Connect) session: no split count, keep the scan as is
+    if splits >= target:
         return df
     return df.repartition(target)
 
