@@ -1,7 +1,7 @@
 """Operators: tokenising, counting and filtering DataFrames."""
 
 from tokentally.operators.counts import count_text_words, keyed_sum, word_count, word_pairs
-from tokentally.operators.filters import any_match, filter_lines, filter_tokens
+from tokentally.operators.filters import any_match, filter_lines, filter_tokens, texts_holding
 from tokentally.operators.tokens import alnum_tokens, explode_tokens
 
 __all__ = [
@@ -12,6 +12,7 @@ __all__ = [
     "filter_lines",
     "filter_tokens",
     "keyed_sum",
+    "texts_holding",
     "word_count",
     "word_pairs",
 ]

@@ -10,6 +10,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def texts_holding(df: DataFrame, needle: str, col: str = "text") -> DataFrame:
+    """Keep the texts that hold ``needle``: a pre-filter before line splitting.
+
+    A needle with no line break lies inside some line of a text exactly when
+    it lies inside the text, so ``filter_lines(split_lines(texts_holding(df,
+    n)), n)`` equals ``filter_lines(split_lines(df), n)`` while only matching
+    texts are split; the predicate also reaches the Parquet reader. A needle
+    holding a line break can match no line: every text is dropped.
+    """
+    if "\n" in needle or "\r" in needle:
+        return df.where(F.lit(False))
+    return df.where(F.col(col).contains(F.lit(needle)))
+
+
 def filter_lines(df: DataFrame, needle: str, col: str = "line") -> DataFrame:
     """Keep the rows whose ``col`` holds ``needle`` (like ``grep needle``)."""
     return df.where(F.col(col).contains(F.lit(needle)))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokentally.operators.counts import count_text_words, keyed_sum, word_count, word_pairs
-from tokentally.operators.filters import any_match, filter_lines, filter_tokens
+from tokentally.operators.filters import any_match, filter_lines, filter_tokens, texts_holding
 from tokentally.operators.tokens import alnum_tokens, explode_tokens
 from tokentally.plans.timing import timed_word_count
 from tokentally.session import fresh_path
@@ -124,7 +124,8 @@ def q_timed_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def license_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filter_lines(document_lines(spark, sf_dir), NEEDLE, "line")
+    texts = texts_holding(documents(spark, sf_dir), NEEDLE, "text")
+    return filter_lines(split_lines(texts, "text", ["doc_id"]), NEEDLE, "line")
 
 
 def _license_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
