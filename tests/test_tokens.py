@@ -122,3 +122,30 @@ def test_tokens_stay_in_jvm(spark):
     df = spark.createDataFrame([("a b",)], "line string").select(F.explode(space_tokens("line")))
     plan = explain_text(df)
     assert "EvalPython" not in plan and "[codegen id" in plan
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.text(alphabet=["a", "b", " ", "\n", "\r"], max_size=20), min_size=1, max_size=30))
+def test_sum_of_counts_equals_token_rows(spark, texts):
+    from tokentally.operators.counts import count_text_words
+
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    tokens = explode_tokens(split_lines(df, "text", ["doc_id"]), "line", ["doc_id", "line_no"])
+    counts = count_text_words(df, "text")
+    total = counts.agg(F.sum("cnt")).collect()[0][0] or 0
+    assert total == tokens.count()
+    model = sum(len(java_space_split(line)) for t in texts for line in text_file_lines(t))
+    assert total == model
+
+
+def test_hot_word_is_combined_before_the_shuffle(spark):
+    from tokentally.operators.counts import count_text_words
+
+    # One word holds a third of all tokens, spread over every partition.
+    texts = [("the " * 50 + " ".join(f"w{i}_{j}" for j in range(100)),) for i in range(400)]
+    df = spark.createDataFrame(texts, "text string").repartition(8)
+    counts = count_text_words(df, "text")
+    plan = explain_text(counts)
+    assert "partial_count(1)" in plan and "hashpartitioning(word" in plan
+    got = {r.word: r.cnt for r in counts.collect()}
+    assert got["the"] == 400 * 50 and len(got) == 1 + 400 * 100
