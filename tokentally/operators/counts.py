@@ -37,14 +37,18 @@ def keyed_sum(
     return df.groupBy(*keys).agg(F.sum(F.col(value).cast("bigint")).alias(out))
 
 
+def count_by(df: DataFrame, key: str, out: str = "cnt") -> DataFrame:
+    """Rows per distinct ``key``: ``[key, out bigint]`` (exact, case-sensitive keys)."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias(out))
+
+
 def word_count(lines: DataFrame, col: str = "value") -> DataFrame:
     """Count every single-space token of every line: ``[word, cnt bigint]``.
 
     Keys are exact and case-sensitive; the empty word is a key like any
     other. Output order is undefined.
     """
-    words = explode_tokens(lines, col, with_position=False)
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
+    return count_by(explode_tokens(lines, col, with_position=False), "word")
 
 
 def count_text_words(df: DataFrame, col: str = "text") -> DataFrame:

@@ -13,9 +13,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tokentally.operators.counts import count_text_words, keyed_sum, word_count, word_pairs
+from tokentally.operators.counts import count_by, count_text_words, keyed_sum, word_count, word_pairs
 from tokentally.operators.filters import any_match, filter_lines, filter_tokens, texts_holding
 from tokentally.operators.tokens import alnum_tokens, explode_tokens
 from tokentally.plans.timing import timed_word_count
@@ -99,10 +98,6 @@ def q_text_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "lines")
     lines = split_lines(table(spark, sf_dir, "documents", "text"), "text", with_position=False)
     lines.write.mode("errorifexists").text(path)
-    return count_text_words_from_files(spark, path)
-
-
-def count_text_words_from_files(spark: SparkSession, path: str) -> DataFrame:
     return word_count(read_lines(spark, path), "value")
 
 
@@ -137,21 +132,17 @@ def q_filter_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_alnum_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keyed_count(_license_tokens(spark, sf_dir))
+    return count_by(_license_tokens(spark, sf_dir), "token")
 
 
 def q_filter_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keyed_count(filter_tokens(_license_tokens(spark, sf_dir), NEEDLE, "token"))
+    return count_by(filter_tokens(_license_tokens(spark, sf_dir), NEEDLE, "token"), "token")
 
 
 def q_any_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return any_match(_license_tokens(spark, sf_dir), NEEDLE, "token")
 
 
-def keyed_count(tokens: DataFrame) -> DataFrame:
-    return tokens.groupBy("token").agg(F.count(F.lit(1)).alias("cnt"))
-
-
 QUERIES: dict[str, Query] = {
     "split_lines": q_split_lines,
     "tokenize": q_tokenize,
