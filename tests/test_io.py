@@ -109,13 +109,21 @@ def test_sink_roundtrip(spark, tmp_path_factory, counts):
     assert {r.word: r.cnt for r in back.collect()} == counts
 
 
-def test_read_counts_rejects_malformed_line(spark, tmp_path):
+@pytest.mark.parametrize("bad", ["not a pair", "(abc)", "(a,)", "(a,1.5)", "(a,x)", "a,1)", "(a,1"])
+def test_read_counts_rejects_malformed_line(spark, tmp_path, bad):
     (tmp_path / "r").mkdir()
-    (tmp_path / "r" / "part-00000").write_text("(a,1)\nnot a pair\n")
+    (tmp_path / "r" / "part-00000").write_text(f"(a,1)\n{bad}\n")
     with pytest.raises(Exception, match="not a \\(word,count\\) line"):
         read_counts(spark, str(tmp_path / "r")).collect()
 
 
+def test_read_counts_parses_last_comma(spark, tmp_path):
+    (tmp_path / "r").mkdir()
+    (tmp_path / "r" / "part-00000").write_text("(,3)\n(a,b,-2)\n((x),1)\n(é,,9)\n")
+    got = sorted(tuple(r) for r in read_counts(spark, str(tmp_path / "r")).collect())
+    assert got == [("", 3), ("(x)", 1), ("a,b", -2), ("é,", 9)]
+
+
 def test_result_manifest(spark, tmp_path):
     out = str(tmp_path / "result")
     df = spark.createDataFrame([("a", 1), ("b", 2)], "word string, cnt bigint")

@@ -3,7 +3,6 @@
 from tokentally.functions.text import (
     LINE_BREAK,
     NON_ALNUM,
-    PAIR_PATTERN,
     SPACE,
     alnum_pieces,
     empty_strings,
@@ -17,7 +16,6 @@ from tokentally.functions.text import (
 __all__ = [
     "LINE_BREAK",
     "NON_ALNUM",
-    "PAIR_PATTERN",
     "SPACE",
     "alnum_pieces",
     "empty_strings",

@@ -14,11 +14,9 @@ from pyspark.sql import functions as F
 #   LINE_BREAK      line terminators of Hadoop's text line reader: CRLF, CR, LF
 #   SPACE           the token separator of the word count (one 0x20 character)
 #   NON_ALNUM       separator runs of `tr -cs '[:alnum:]'` in the C locale
-#   PAIR_PATTERN    one output line `(word,count)`; the count follows the last comma
 LINE_BREAK = "\r\n|\r|\n"
 SPACE = " "
 NON_ALNUM = "[^A-Za-z0-9]+"
-PAIR_PATTERN = r"(?s)^\((.*),(-?\d+)\)$"
 
 _FINAL_BREAK = "(" + LINE_BREAK + ")\\z"
 
@@ -78,15 +76,27 @@ def pair_text(word: str | Column, cnt: str | Column) -> Column:
     return F.concat(F.lit("("), _col(word), F.lit(","), _col(cnt).cast("string"), F.lit(")"))
 
 
+def _pair_tail(value: Column) -> Column:
+    """``count)`` -- everything after the last comma of a pair line."""
+    return F.substring_index(value, ",", -1)
+
+
 def pair_word(value: str | Column) -> Column:
-    """The word of a ``(word,count)`` line (greedy up to the last comma)."""
-    return F.regexp_extract(_col(value), PAIR_PATTERN, 1)
+    """The word of a ``(word,count)`` line: between ``(`` and the last comma.
+
+    Plain string functions, no regular expression: a word may itself hold
+    commas and parentheses because the count follows the last comma.
+    """
+    v = _col(value)
+    return F.substring(v, F.lit(2), F.length(v) - F.length(_pair_tail(v)) - 2)
 
 
 def pair_count(value: str | Column) -> Column:
     """The count of a ``(word,count)`` line as bigint; a malformed line fails the job."""
-    digits = F.regexp_extract(_col(value), PAIR_PATTERN, 2)
-    return F.when(
-        digits == "",
-        F.raise_error(F.concat(F.lit("not a (word,count) line: "), _col(value))),
-    ).otherwise(digits.cast("bigint"))
+    v = _col(value)
+    tail = _pair_tail(v)
+    cnt = F.substring(tail, F.lit(1), F.length(tail) - 1).try_cast("bigint")
+    well_formed = v.startswith("(") & v.endswith(")") & v.contains(",") & cnt.isNotNull()
+    return F.when(well_formed, cnt).otherwise(
+        F.raise_error(F.concat(F.lit("not a (word,count) line: "), v))
+    )
