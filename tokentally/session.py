@@ -14,11 +14,11 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings that matter at scale; see README "Running at scale" for the reasons.
+# Adaptive execution sizes the word-count shuffle at run time; see README
+# "Plan shape and scale" for the settings recommended on a cluster.
 SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
 }
 
