@@ -12,9 +12,11 @@ def widen_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     split, so a table stored as one large row group is tokenised by one task
     while the other cores idle. When the scan has fewer splits than
     ``min_partitions`` (default: the cluster's cores), a round-robin
-    repartition spreads the rows first; its cost is bounded by that small
-    input. A large input (many splits per core, the 100 TB case) is returned
-    unchanged, with no extra shuffle.
+    repartition spreads the rows first. It fires only when most cores would
+    otherwise idle, and the bytes it moves are at most cores x split size.
+    A large input (many splits per core, the 100 TB case) is returned
+    unchanged, with no extra shuffle. Round robin, not a hash of the text,
+    so exact copies of one document cannot pile onto one task.
 
     Call it on a scan, not on a plan that already shuffles: counting the
     splits plans the scan but runs no job.
