@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import explain_text, java_space_split, text_file_lines
-from tokentally.functions.text import lines_of, space_tokens
+from tokentally.functions.text import lines_of, tokenize
 from tokentally.operators.tokens import alnum_tokens, explode_tokens
 from tokentally.sources.text import split_lines
 
@@ -47,7 +47,7 @@ LINE_CASES = [
 
 def test_token_cases(spark):
     df = spark.createDataFrame([(i, s) for i, (s, _) in enumerate(TOKEN_CASES)], "id bigint, line string")
-    got = {r.id: list(r.t) for r in df.select("id", space_tokens("line").alias("t")).collect()}
+    got = {r.id: list(r.t) for r in df.select("id", tokenize("line").alias("t")).collect()}
     for i, (line, want) in enumerate(TOKEN_CASES):
         assert got[i] == want, line
         assert java_space_split(line) == want, line
@@ -96,7 +96,7 @@ ALPHABET = ["a", "é", " ", "\t", ",", "("]
 @given(st.lists(st.text(alphabet=ALPHABET, max_size=12), min_size=1, max_size=40))
 def test_tokens_match_java_model(spark, lines):
     df = spark.createDataFrame(list(enumerate(lines)), "id bigint, line string")
-    got = {r.id: list(r.t) for r in df.select("id", space_tokens("line").alias("t")).collect()}
+    got = {r.id: list(r.t) for r in df.select("id", tokenize("line").alias("t")).collect()}
     assert all(got[i] == java_space_split(s) for i, s in enumerate(lines))
 
 
@@ -119,7 +119,7 @@ def test_split_lines_equals_file_reader(spark, tmp_path, text):
 
 
 def test_tokens_stay_in_jvm(spark):
-    df = spark.createDataFrame([("a b",)], "line string").select(F.explode(space_tokens("line")))
+    df = spark.createDataFrame([("a b",)], "line string").select(F.explode(tokenize("line")))
     plan = explain_text(df)
     assert "EvalPython" not in plan and "[codegen id" in plan
 

@@ -10,7 +10,7 @@ from tokentally.functions.text import (
     pair_count,
     pair_text,
     pair_word,
-    space_tokens,
+    tokenize,
 )
 
 __all__ = [
@@ -23,5 +23,5 @@ __all__ = [
     "pair_count",
     "pair_text",
     "pair_word",
-    "space_tokens",
+    "tokenize",
 ]

@@ -49,7 +49,7 @@ def lines_of(c: str | Column) -> Column:
     )
 
 
-def space_tokens(c: str | Column) -> Column:
+def tokenize(c: str | Column) -> Column:
     """Split a line on single spaces with Java ``String.split(" ")`` rules.
 
     Leading and inner empty tokens are kept, trailing ones are dropped, and

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokentally.functions.text import alnum_pieces, space_tokens
+from tokentally.functions.text import alnum_pieces, tokenize
 
 
 def explode_tokens(
@@ -25,8 +25,8 @@ def explode_tokens(
     """
     key_cols = [F.col(k) for k in keys]
     if not with_position:
-        return df.select(*key_cols, F.explode(space_tokens(col)).alias("word"))
-    exploded = df.select(*key_cols, F.posexplode(space_tokens(col)).alias("pos", "word"))
+        return df.select(*key_cols, F.explode(tokenize(col)).alias("word"))
+    exploded = df.select(*key_cols, F.posexplode(tokenize(col)).alias("pos", "word"))
     return exploded.select(*keys, F.col("pos").cast("bigint").alias("pos"), "word")
 
 
