@@ -76,6 +76,12 @@ def test_keyed_sum_does_not_wrap(spark):
     assert out.collect()[0].cnt == 2147483648
 
 
+def test_keyed_sum_keeps_fractional_values(spark):
+    df = spark.createDataFrame([("a", "x", 0.5), ("a", "x", 0.25), ("b", "y", 1.0)], "k1 string, k2 string, v double")
+    got = sorted(tuple(r) for r in keyed_sum(df, ["k1", "k2"], "v", "total").collect())
+    assert got == [("a", "x", 0.75), ("b", "y", 1.0)]
+
+
 def test_empty_input(spark):
     df = spark.createDataFrame([], "value string")
     assert word_count(df).count() == 0

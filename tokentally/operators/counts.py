@@ -30,11 +30,12 @@ def keyed_sum(
 ) -> DataFrame:
     """Sum ``value`` per key: ``[keys..., out bigint]``.
 
-    The sum is 64-bit, so counts above 2,147,483,647 do not wrap (the 32-bit
-    sum of the original job would).
+    Spark sums integer columns as bigint, so counts above 2,147,483,647 do
+    not wrap (the 32-bit sum of the original job would); other numeric types
+    keep their own sum type.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    return df.groupBy(*keys).agg(F.sum(F.col(value).cast("bigint")).alias(out))
+    return df.groupBy(*keys).agg(F.sum(value).alias(out))
 
 
 def count_by(df: DataFrame, key: str, out: str = "cnt") -> DataFrame:
