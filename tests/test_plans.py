@@ -38,3 +38,15 @@ def test_widen_scan_only_when_narrow(spark):
     assert "RoundRobinPartitioning" in explain_text(narrow)
     wide_enough = widen_scan(spark.read.parquet(path).select("text"), min_partitions=1)
     assert "Exchange" not in explain_text(wide_enough)
+
+
+def test_wide_input_keeps_a_single_shuffle(spark, tmp_path):
+    # The same documents in 16 files: at least one split per core, as at scale.
+    wide = str(tmp_path / "documents.parquet")
+    spark.read.parquet(f"{SF001}/documents.parquet").repartition(16).write.parquet(wide)
+    narrow_counts = QUERIES["word_count_documents"](spark, SF001)
+    wide_counts = QUERIES["word_count_documents"](spark, str(tmp_path))
+    plan = explain_text(wide_counts)
+    assert "RoundRobinPartitioning" not in plan
+    assert plan.count("+- Exchange") == 1 and "hashpartitioning(word" in plan
+    assert sorted(wide_counts.collect()) == sorted(narrow_counts.collect())
