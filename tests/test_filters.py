@@ -21,11 +21,11 @@ def test_filter_tokens_inside_token(spark):
 
 
 def test_launcher_pipeline(spark):
-    # grep 'impvc' | tr -cs '[:alnum:]' '\n' | grep 'Bound', then a search for 'Bound'.
+    # grep 'data-claim' | tr -cs '[:alnum:]' '\n' | grep 'Bound', then a search for 'Bound'.
     status = spark.createDataFrame(
-        [("impvc   Bound    pv0   1Gi   RWO   standard   5m",), ("other  Pending",)], "line string"
+        [("data-claim   Bound    vol0   1Gi   RWO   standard   5m",), ("other  Pending",)], "line string"
     )
-    tokens = alnum_tokens(filter_lines(status, "impvc"), "line")
+    tokens = alnum_tokens(filter_lines(status, "data-claim"), "line")
     assert sorted(r.token for r in filter_tokens(tokens, "Bound").collect()) == ["Bound"]
     assert any_match(tokens, "Bound").collect()[0].matched is True
     assert any_match(tokens, "Lost").collect()[0].matched is False
