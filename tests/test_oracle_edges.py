@@ -27,6 +27,8 @@ EDGE_TEXTS = [
     "trailing newline\n",
     "two trailing\n\n",
     "Unbounded Bound Bounded\r\n(x,y) 1,2",
+    "a\u0085b c\u2028d\x0be\x0cf",
+    "\u00a0 nbsp\u3000ideographic ",
 ]
 
 DOC_QUERIES = [
