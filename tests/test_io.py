@@ -171,3 +171,25 @@ def test_command_line_job(spark, tmp_path, capsys):
     assert "time in ms :" in printed
     assert {r.word: r.cnt for r in read_counts(spark, out).collect()} == {
         "to": 2, "be": 2, "or": 1, "not": 1, "": 1}
+
+
+def test_gzip_input_is_spread_and_equal(spark, tmp_path):
+    import gzip
+
+    from conftest import explain_text
+
+    text = "".join(f"line {i} a b{i % 7}\n" for i in range(5000)).encode()
+    (tmp_path / "plain.txt").write_bytes(text)
+    (tmp_path / "packed.txt.gz").write_bytes(gzip.compress(text))
+    packed = read_lines(spark, str(tmp_path / "packed.txt.gz"), widen=True)
+    assert "RoundRobinPartitioning" in explain_text(packed)
+    plain = read_lines(spark, str(tmp_path / "plain.txt"))
+    assert sorted(word_count(packed).collect()) == sorted(word_count(plain).collect())
+
+
+def test_many_text_files_are_not_spread(spark, tmp_path):
+    from conftest import explain_text
+
+    for i in range(spark.sparkContext.defaultParallelism):
+        (tmp_path / f"{i}.txt").write_bytes(b"x y\n")
+    assert "Exchange" not in explain_text(read_lines(spark, str(tmp_path), widen=True))

@@ -33,7 +33,7 @@ def main(argv: list[str] | None = None) -> str:
     spark = SparkSession.builder.appName("WordCount").getOrCreate()
     output = args.output or fresh_path(spark, "result")
     start = time.monotonic()
-    write_counts(word_count(read_lines(spark, args.input)), output)
+    write_counts(word_count(read_lines(spark, args.input, widen=True)), output)
     elapsed_ms = int((time.monotonic() - start) * 1000)
     print(RULE)
     print(f"time in ms :{elapsed_ms}")

@@ -98,7 +98,7 @@ def q_text_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "lines")
     lines = split_lines(table(spark, sf_dir, "documents", "text"), "text", with_position=False)
     lines.write.mode("errorifexists").text(path)
-    return word_count(read_lines(spark, path), "value")
+    return word_count(read_lines(spark, path, widen=True), "value")
 
 
 def q_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

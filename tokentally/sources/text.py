@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokentally.functions.text import lines_of
+from tokentally.sources.tables import widen_scan
 
 
 def _path_list(paths: str | Sequence[str]) -> list[str]:
@@ -17,16 +18,23 @@ def _path_list(paths: str | Sequence[str]) -> list[str]:
     return list(paths)
 
 
-def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def read_lines(
+    spark: SparkSession, paths: str | Sequence[str], *, widen: bool = False
+) -> DataFrame:
     """One row per line of the files, directories or globs: ``[value string]``.
 
     Lines end at ``\\n``, ``\\r\\n`` or ``\\r``; a UTF-8 byte-order mark at the
     start of a file is dropped by the line reader. Malformed UTF-8 is decoded
     to U+FFFD, as a JVM string decoder does, so bad spellings of one word
-    become one key. Files are split by size, so the scan is as wide as the
-    input; a missing path is an error.
+    become one key. Lines come in file order. Plain text files are split by
+    size; a compressed file (gzip) is one split, so for counting pass
+    ``widen=True``: when the scan has fewer splits than cores its lines are
+    spread round-robin (order is then lost) before tokenising. A missing path
+    is an error.
     """
     raw = spark.read.text(_path_list(paths))
+    if widen:
+        raw = widen_scan(raw)
     return raw.select(F.make_valid_utf8("value").alias("value"))
 
 
