@@ -19,26 +19,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from tokentally.plans.catalog import QUERIES  # noqa: E402
 from tokentally.session import local_session  # noqa: E402
 
-# The headline queries: the word count job and every operator around it.
-HEADLINE = [
-    "word_count_documents",
-    "word_count_pages",
-    "word_count_conversations",
-    "word_count_parts",
-    "keyed_sum",
-    "word_pairs",
-    "split_lines",
-    "tokenize",
-    "format_pairs",
-    "text_scan",
-    "sink_roundtrip",
-    "result_manifest",
-    "timed_word_count",
-    "filter_lines",
-    "alnum_tokens",
-    "filter_tokens",
-    "any_match",
-]
+# Every registered catalog query: the word count job and every operator around it.
+HEADLINE = list(QUERIES)
 
 
 def run_once(spark, name: str, sf_dir: str) -> float:

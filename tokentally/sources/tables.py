@@ -16,7 +16,11 @@ def widen_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     otherwise idle, and the bytes it moves are at most cores x split size.
     A large input (many splits per core, the 100 TB case) is returned
     unchanged, with no extra shuffle. Round robin, not a hash of the text,
-    so exact copies of one document cannot pile onto one task.
+    so exact copies of one document (or the many blank lines of a text
+    file) cannot pile onto one task. Spark sorts each input split before a
+    round-robin exchange so that a retried task sends every row to the same
+    place; that sort is bounded by one split (a Parquet row group, or one
+    compressed text file) and is the price of surviving a lost executor.
 
     Call it on a scan, not on a plan that already shuffles: counting the
     splits plans the scan but runs no job.

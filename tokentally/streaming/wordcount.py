@@ -17,7 +17,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tokentally.functions.text import pair_count, pair_word
 from tokentally.operators.counts import word_count
-from tokentally.session import fresh_path
 from tokentally.sinks.text import format_pairs
 
 
@@ -47,10 +46,12 @@ def start_text_counts(
 
     A batch folder is overwritten if its batch is run again after a failure,
     so the output stays exactly-once together with the checkpoint. The
-    checkpoint defaults to a new folder under ``spark.checkpoint.dir``.
+    checkpoint defaults to ``<path>/_checkpoint`` (hidden from readers), so a
+    restart with the same output resumes the same stream; an output folder
+    must only ever be written with one checkpoint, or ``current_counts``
+    would mix totals of two streams.
     """
-    spark = counts.sparkSession
-    checkpoint = checkpoint or fresh_path(spark, "stream-checkpoint")
+    checkpoint = checkpoint or f"{path.rstrip('/')}/_checkpoint"
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         format_pairs(batch).write.mode("overwrite").text(f"{path}/batch_id={batch_id}")
