@@ -46,6 +46,18 @@ def test_queries_without_oracle_run(spark):
         assert queries()[name](spark, SF001).count() >= 1, name
 
 
+def test_result_manifest_covers_the_whole_result(spark):
+    manifest = queries()["result_manifest"](spark, SF001).collect()
+    assert sum(r.rows for r in manifest) == 93796  # distinct words of documents at sf0.01
+    assert all(r.rows > 0 and r.file_size > 0 and r.file_name.startswith("part-") for r in manifest)
+    assert len({r.file_name for r in manifest}) == len(manifest)
+
+
+def test_timed_word_count_counts_the_written_result(spark):
+    row = queries()["timed_word_count"](spark, SF001).collect()[0]
+    assert row.rows == 93796 and row.elapsed_ms > 0
+
+
 def test_entry_smoke(spark):
     df = entry(spark)
     assert df.columns == ["word", "cnt"]
