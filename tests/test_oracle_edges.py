@@ -8,6 +8,8 @@ import duckdb
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from __spark_entry__ import oracle_sql, queries
 
@@ -73,3 +75,26 @@ def test_edge_texts_match_oracle(spark, edge_dir, name):
     idx = [rel.columns.index(c) for c in cols]
     want = [tuple(r[i] for i in idx) for r in rel.fetchall()]
     assert _canon(got) == _canon(want)
+
+
+ALPHABET = ["a", "B", "é", " ", " ", "\t", "\n", "\r", " ", ",", "i", "c", "e", "n", "s", "l"]
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(st.none(), st.text(alphabet=ALPHABET, max_size=40)), min_size=1, max_size=25))
+def test_random_texts_match_oracle(spark, tmp_path_factory, texts):
+    d = tmp_path_factory.mktemp("random_sf")
+    pq.write_table(
+        pa.table({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())}),
+        d / "documents.parquet",
+    )
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{d}/documents.parquet')")
+    for name in ["tokenize", "word_count_documents", "filter_lines", "alnum_tokens", "any_match"]:
+        df = queries()[name](spark, str(d))
+        rel = con.sql(oracle_sql()[name])
+        cols = sorted(df.columns)
+        got = [tuple(r[c] for c in cols) for r in df.collect()]
+        idx = [rel.columns.index(c) for c in cols]
+        want = [tuple(r[i] for i in idx) for r in rel.fetchall()]
+        assert _canon(got) == _canon(want), name
