@@ -77,7 +77,7 @@ def test_edge_texts_match_oracle(spark, edge_dir, name):
     assert _canon(got) == _canon(want)
 
 
-ALPHABET = ["a", "B", "é", " ", " ", "\t", "\n", "\r", " ", ",", "i", "c", "e", "n", "s", "l"]
+ALPHABET = ["a", "B", "é", " ", " ", "\t", "\n", "\r", "\u00a0", ",", "i", "c", "e", "n", "s", "l"]
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
