@@ -22,7 +22,7 @@ TOKEN_CASES = [
     ("a b  ", ["a", "b"]),
     ("a\tb", ["a\tb"]),
     ("A a, a", ["A", "a,", "a"]),
-    ("a b　c", ["a b　c"]),
+    ("a\u00a0b\u3000c", ["a\u00a0b\u3000c"]),
     ("a \t", ["a", "\t"]),
 ]
 
