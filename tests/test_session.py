@@ -11,3 +11,12 @@ def test_fresh_path_is_new_and_under_checkpoint_dir(spark):
     a, b = fresh_path(spark, "result"), fresh_path(spark, "result")
     assert a != b
     assert a.startswith(base.rstrip("/") + "/tokentally/") and a.endswith("/result")
+
+
+def test_cluster_conf_scales_with_cores():
+    from tokentally.session import cluster_conf
+
+    small, big = cluster_conf(8), cluster_conf(8000)
+    assert small["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "200"
+    assert big["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "32000"
+    assert big["spark.sql.adaptive.enabled"] == "true"

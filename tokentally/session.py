@@ -23,6 +23,24 @@ SCALE_CONF = {
 }
 
 
+def cluster_conf(total_cores: int) -> dict[str, str]:
+    """Session settings for a large word count, to pass to ``SparkSession.builder``.
+
+    * adaptive execution, with the first shuffle cut into 4 partitions per
+      core (never fewer than 200) that are then coalesced to about 128 MB:
+      the partial-aggregate output is roughly one row per distinct word per
+      map task, so its size is only known at run time;
+    * 256 MB input splits: larger map tasks combine more tokens per word
+      before the shuffle (a Parquet row group stays the unit of a split).
+    """
+    return {
+        **SCALE_CONF,
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(max(200, 4 * total_cores)),
+        "spark.sql.shuffle.partitions": str(max(200, 4 * total_cores)),
+        "spark.sql.files.maxPartitionBytes": "256m",
+    }
+
+
 def local_session(cores: int | str = "*", app: str = "tokentally", **conf: str) -> SparkSession:
     """A ``local[cores]`` session with the UI off, for tests and the bench."""
     n = cores if cores != "*" else None
