@@ -193,3 +193,11 @@ def test_many_text_files_are_not_spread(spark, tmp_path):
     for i in range(spark.sparkContext.defaultParallelism):
         (tmp_path / f"{i}.txt").write_bytes(b"x y\n")
     assert "Exchange" not in explain_text(read_lines(spark, str(tmp_path), widen=True))
+
+
+def test_read_lines_glob_and_list(spark, tmp_path):
+    for name, body in [("a.txt", b"x\n"), ("b.txt", b"y z\n"), ("c.log", b"skip\n")]:
+        (tmp_path / name).write_bytes(body)
+    by_glob = sorted(r.value for r in read_lines(spark, str(tmp_path / "*.txt")).collect())
+    by_list = sorted(r.value for r in read_lines(spark, [str(tmp_path / "a.txt"), str(tmp_path / "b.txt")]).collect())
+    assert by_glob == by_list == ["x", "y z"]
