@@ -35,25 +35,32 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = local_session(cpus, app="tokentally-bench", **{"spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
+    errors: dict[str, str] = {}
     for name in HEADLINE:  # warm-up: class loading, JIT, file listing caches
-        run_once(spark, name, sf_dir)
-    samples: dict[str, list[float]] = {name: [] for name in HEADLINE}
+        try:
+            run_once(spark, name, sf_dir)
+        except Exception as exc:  # report the failure, keep benching the rest
+            errors[name] = f"{type(exc).__name__}: {str(exc).splitlines()[0][:200]}"
+    timed = [name for name in HEADLINE if name not in errors]
+    samples: dict[str, list[float]] = {name: [] for name in timed}
     for _ in range(runs):  # interleaved rounds, so drift hits every query alike
-        for name in HEADLINE:
+        for name in timed:
             samples[name].append(run_once(spark, name, sf_dir))
     spark.stop()
-    times = {name: round(statistics.median(ts), 3) for name, ts in samples.items()}
+    times: dict[str, float | None] = {name: None for name in HEADLINE}
+    times.update({name: round(statistics.median(ts), 3) for name, ts in samples.items()})
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(
         json.dumps(
             {
                 "metric": "catalog_total_median",
-                "value": round(sum(times.values()), 3),
+                "value": round(sum(t for t in times.values() if t is not None), 3),
                 "unit": "sec",
                 "queries": times,
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "cpus": cpus,
                 "runs": runs,
+                **({"errors": errors} if errors else {}),
             }
         )
     )
