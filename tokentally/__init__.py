@@ -6,35 +6,51 @@ counts as ``(word,count)`` text and read them back. Everything is built-in
 Spark expressions: no Python runs per row.
 """
 
+from tokentally.functions import lines_of, tokenize
 from tokentally.operators import (
     alnum_tokens,
     any_match,
+    count_by,
     count_text_words,
     explode_tokens,
     filter_lines,
     filter_tokens,
     keyed_sum,
+    texts_holding,
     word_count,
     word_pairs,
 )
 from tokentally.plans.timing import timed_word_count
 from tokentally.sinks import format_pairs, write_counts
-from tokentally.sources import read_counts, read_lines, result_manifest, split_lines
+from tokentally.sources import (
+    read_counts,
+    read_lines,
+    read_table,
+    result_manifest,
+    split_lines,
+    widen_scan,
+)
 
 __all__ = [
     "alnum_tokens",
     "any_match",
+    "count_by",
     "count_text_words",
     "explode_tokens",
     "filter_lines",
     "filter_tokens",
     "format_pairs",
     "keyed_sum",
+    "lines_of",
     "read_counts",
     "read_lines",
+    "read_table",
     "result_manifest",
     "split_lines",
+    "texts_holding",
     "timed_word_count",
+    "tokenize",
+    "widen_scan",
     "word_count",
     "word_pairs",
     "write_counts",
