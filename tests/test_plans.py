@@ -50,3 +50,15 @@ def test_wide_input_keeps_a_single_shuffle(spark, tmp_path):
     assert "RoundRobinPartitioning" not in plan
     assert plan.count("+- Exchange") == 1 and "hashpartitioning(word" in plan
     assert sorted(wide_counts.collect()) == sorted(narrow_counts.collect())
+
+
+def test_tokens_and_partial_aggregate_share_one_codegen_stage(spark):
+    import re
+
+    df = QUERIES["word_count_documents"](spark, SF001)
+    df.collect()  # the final adaptive plan, with codegen stage ids, exists after execution
+    final = explain_text(df, "simple").split("== Final Plan ==")[1].split("== Initial Plan ==")[0]
+    generates = re.findall(r"\*\((\d+)\) Generate explode", final)
+    partials = re.findall(r"\*\((\d+)\) HashAggregate\(keys=\[word#\d+\], functions=\[partial_count", final)
+    assert len(generates) == 2 and len(partials) == 1
+    assert len(set(generates) | set(partials)) == 1  # one codegen stage id for all three
