@@ -101,7 +101,7 @@ def test_write_fails_if_output_exists(spark, tmp_path):
         write_counts(df, out)
 
 
-WORD = st.text(alphabet=["a", "é", ",", "(", ")", " ", "\t", "1", "-"], max_size=8)
+WORD = st.text(alphabet=["a", "é", ",", "(", ")", " ", "\t", "1", "-", "\u0085", "\u2028"], max_size=8)
 
 
 @settings(max_examples=15, deadline=None)
