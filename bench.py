@@ -16,6 +16,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from tokentally.plans.catalog import QUERIES  # noqa: E402
 from tokentally.session import local_session  # noqa: E402
 
@@ -46,6 +48,11 @@ def main() -> None:
     for _ in range(runs):  # interleaved rounds, so drift hits every query alike
         for name in timed:
             samples[name].append(run_once(spark, name, sf_dir))
+    throughput = {}
+    if "word_count_documents" in samples:  # tokens counted once, outside the timing
+        tokens = QUERIES["word_count_documents"](spark, sf_dir).agg(F.sum("cnt")).collect()[0][0]
+        seconds = statistics.median(samples["word_count_documents"])
+        throughput = {"flagship_tokens": tokens, "flagship_tokens_per_sec": round(tokens / seconds)}
     spark.stop()
     times: dict[str, float | None] = {name: None for name in HEADLINE}
     times.update({name: round(statistics.median(ts), 3) for name, ts in samples.items()})
@@ -60,6 +67,7 @@ def main() -> None:
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "cpus": cpus,
                 "runs": runs,
+                **throughput,
                 **({"errors": errors} if errors else {}),
             }
         )
