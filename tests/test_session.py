@@ -20,3 +20,4 @@ def test_cluster_conf_scales_with_cores():
     assert small["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "200"
     assert big["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "32000"
     assert big["spark.sql.adaptive.enabled"] == "true"
+    assert big["spark.io.compression.codec"] == "zstd"
