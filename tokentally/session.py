@@ -27,9 +27,11 @@ def cluster_conf(total_cores: int) -> dict[str, str]:
     """Session settings for a large word count, to pass to ``SparkSession.builder``.
 
     * adaptive execution, with the first shuffle cut into 4 partitions per
-      core (never fewer than 200) that are then coalesced to about 128 MB:
-      the partial-aggregate output is roughly one row per distinct word per
-      map task, so its size is only known at run time;
+      core (never fewer than 200) that are then coalesced to about 128 MB
+      (``parallelismFirst`` off, so the advisory size is honoured and the
+      sink writes ~128 MB files, not many small ones): the partial-aggregate
+      output is roughly one row per distinct word per map task, so its size
+      is only known at run time;
     * 256 MB input splits: larger map tasks combine more tokens per word
       before the shuffle (a Parquet row group stays the unit of a split);
     * zstd for shuffle blocks: on ten copies of the sf0.1 documents it wrote
@@ -39,6 +41,7 @@ def cluster_conf(total_cores: int) -> dict[str, str]:
     return {
         **SCALE_CONF,
         "spark.io.compression.codec": "zstd",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(max(200, 4 * total_cores)),
         "spark.sql.shuffle.partitions": str(max(200, 4 * total_cores)),
         "spark.sql.files.maxPartitionBytes": "256m",
