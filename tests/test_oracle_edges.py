@@ -31,6 +31,7 @@ EDGE_TEXTS = [
     "Unbounded Bound Bounded\r\n(x,y) 1,2",
     "a\u0085b c\u2028d\x0be\x0cf",
     "\u00a0 nbsp\u3000ideographic ",
+    "\U0001f600 smile \U0001f600\n",
 ]
 
 DOC_QUERIES = [
@@ -77,7 +78,7 @@ def test_edge_texts_match_oracle(spark, edge_dir, name):
     assert _canon(got) == _canon(want)
 
 
-ALPHABET = ["a", "B", "é", " ", " ", "\t", "\n", "\r", "\u00a0", ",", "i", "c", "e", "n", "s", "l"]
+ALPHABET = ["a", "B", "é", "\U0001f600", " ", " ", "\t", "\n", "\r", "\u00a0", ",", "i", "c", "e", "n", "s", "l"]
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
