@@ -14,9 +14,12 @@ from pyspark.sql import functions as F
 #   LINE_BREAK      line terminators of Hadoop's text line reader: CRLF, CR, LF
 #   SPACE           the token separator of the word count (one 0x20 character)
 #   NON_ALNUM       separator runs of `tr -cs '[:alnum:]'` in the C locale
+#   PAIR_OPEN, PAIR_SEP, PAIR_CLOSE
+#                   the text form of one count, `(word,count)`: no quotes, no space
 LINE_BREAK = "\r\n|\r|\n"
 SPACE = " "
 NON_ALNUM = "[^A-Za-z0-9]+"
+PAIR_OPEN, PAIR_SEP, PAIR_CLOSE = "(", ",", ")"
 
 _FINAL_BREAK = "(" + LINE_BREAK + ")\\z"
 
@@ -73,12 +76,14 @@ def alnum_pieces(c: str | Column) -> Column:
 
 def pair_text(word: str | Column, cnt: str | Column) -> Column:
     """Render ``(word,count)``: no quoting, no space; the empty word is ``(,n)``."""
-    return F.concat(F.lit("("), _col(word), F.lit(","), _col(cnt).cast("string"), F.lit(")"))
+    return F.concat(
+        F.lit(PAIR_OPEN), _col(word), F.lit(PAIR_SEP), _col(cnt).cast("string"), F.lit(PAIR_CLOSE)
+    )
 
 
 def _pair_tail(value: Column) -> Column:
     """``count)`` -- everything after the last comma of a pair line."""
-    return F.substring_index(value, ",", -1)
+    return F.substring_index(value, PAIR_SEP, -1)
 
 
 def pair_word(value: str | Column) -> Column:
@@ -96,7 +101,9 @@ def pair_count(value: str | Column) -> Column:
     v = _col(value)
     tail = _pair_tail(v)
     cnt = F.substring(tail, F.lit(1), F.length(tail) - 1).try_cast("bigint")
-    well_formed = v.startswith("(") & v.endswith(")") & v.contains(",") & cnt.isNotNull()
+    well_formed = (
+        v.startswith(PAIR_OPEN) & v.endswith(PAIR_CLOSE) & v.contains(PAIR_SEP) & cnt.isNotNull()
+    )
     return F.when(well_formed, cnt).otherwise(
         F.raise_error(F.concat(F.lit("not a (word,count) line: "), v))
     )
