@@ -7,18 +7,18 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from conftest import SF001
+from conftest import SF001, SF0001
 
 TABLES = ["documents", "conversations", "pages", "part", "benchmark"]
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
-@pytest.fixture(scope="module")
-def duck():
+@pytest.fixture(scope="module", params=[SF001, SF0001], ids=["sf0.01", "sf0.001"])
+def duck(request):
     con = duckdb.connect()
     for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
-    yield con
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{request.param}/{t}.parquet')")
+    yield con, request.param
     con.close()
 
 
@@ -28,8 +28,9 @@ def _canon(rows):
 
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
-    df = queries()[name](spark, SF001)
-    rel = duck.sql(oracle_sql()[name])
+    con, sf_dir = duck
+    df = queries()[name](spark, sf_dir)
+    rel = con.sql(oracle_sql()[name])
     assert sorted(df.columns) == sorted(rel.columns)
     cols = sorted(df.columns)
     spark_types = {f.name: TYPES[f.dataType.simpleString()] for f in df.schema.fields}
