@@ -21,8 +21,10 @@ from pyspark.sql import functions as F  # noqa: E402
 from tokentally.plans.catalog import QUERIES  # noqa: E402
 from tokentally.session import local_session  # noqa: E402
 
-# Every registered catalog query: the word count job and every operator around it.
-HEADLINE = list(QUERIES)
+# Every registered catalog query: the word count job and every operator around it,
+# less the two checks that only re-run another query to expose its fixed column.
+CHECK_ONLY = {"result_manifest_rows", "timed_word_count_rows"}
+HEADLINE = [name for name in QUERIES if name not in CHECK_ONLY]
 
 
 def run_once(spark, name: str, sf_dir: str) -> float:

@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tokentally.operators.counts import count_by, count_text_words, keyed_sum, word_count, word_pairs
 from tokentally.operators.filters import any_match, filter_lines, filter_tokens, texts_holding
@@ -123,6 +124,17 @@ def q_timed_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timed_word_count(spark, lines, fresh_path(spark, "result"), "line")
 
 
+def q_result_manifest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The deterministic part of the manifest: rows over all result files."""
+    manifest = q_result_manifest(spark, sf_dir)
+    return manifest.agg(F.sum("rows").alias("rows"))
+
+
+def q_timed_word_count_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The deterministic part of the timed job: the rows it wrote."""
+    return q_timed_word_count(spark, sf_dir).select("rows")
+
+
 def license_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = texts_holding(documents(spark, sf_dir), NEEDLE, "text")
     return filter_lines(split_lines(texts, "text", ["doc_id"]), NEEDLE, "line")
@@ -167,4 +179,6 @@ QUERIES: dict[str, Query] = {
     "filter_tokens": q_filter_tokens,
     "any_match": q_any_match,
     "timed_word_count": q_timed_word_count,
+    "result_manifest_rows": q_result_manifest_rows,
+    "timed_word_count_rows": q_timed_word_count_rows,
 }
