@@ -8,6 +8,7 @@ oracle SQL. Prints the median of 5 runs (after one warm-up) per engine.
 
 from __future__ import annotations
 
+import os
 import statistics
 import sys
 import time
@@ -32,7 +33,12 @@ def main() -> None:
     con = duckdb.connect()
     con.execute("SET threads=8")
     for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+        path = f"{sf_dir}/{t}.parquet"
+        if os.path.isdir(path):  # a folder of part files, as Spark writes a table
+            path = f"{path}/*.parquet"
+        elif not os.path.exists(path):
+            continue
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}')")
 
     def run_spark(name: str) -> float:
         start = time.perf_counter()
