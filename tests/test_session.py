@@ -21,6 +21,7 @@ def test_cluster_conf_scales_with_cores():
     assert big["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "32000"
     assert big["spark.sql.adaptive.enabled"] == "true"
     assert big["spark.io.compression.codec"] == "zstd"
+    assert big["spark.sql.codegen.aggregate.map.twolevel.enabled"] == "false"
 
 
 def test_word_count_under_cluster_conf(tmp_path):
