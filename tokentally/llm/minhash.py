@@ -8,9 +8,10 @@ band share a bucket; a bucket links each member to one centre (a star), never al
 pairs. Links are confirmed on the full sets.
 
 A star can miss a link between two members that its centre resembles less. So the
-buckets whose members still lie in different components get further centres, twice
-as many each round, and only pairs across components are compared, until every
-member has been a centre or the bucket is one component. No pair that shares a
+buckets whose members still lie in different components get further centres: four,
+then one for each component in the bucket, then four for each, sixteen and so on. Only pairs across components are
+compared, until every component but one has had all its members as centres or the
+bucket is one component. No pair that shares a
 bucket stays untested unless its two classes are connected already.
 """
 
@@ -86,11 +87,38 @@ def _signatures(size: int, bands: int, rows: int):
     return run
 
 
-def _named(size: int):
+def _named(size: int, bins: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = [set_name(shingle_set(t, size)) for t in text_bytes(batch.column(0))]
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), batch.column(0)], names=["node", "text"])
+            sets = [shingle_set(t, size) for t in text_bytes(batch.column(0))]
+            columns = [
+                pa.array([set_name(s) for s in sets], pa.binary()),
+                pa.array([len(s) for s in sets], pa.int64()),
+                pa.array([signature(s, bins).astype(np.uint8).tobytes() if len(s) else b"" for s in sets], pa.binary()),
+                batch.column(0),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "sketch", "text"])
+
+    return run
+
+
+def _likely(percent: int, bins: int):
+    """Keeps pairs unless the lower bytes of their signatures speak clearly against a link.
+
+    At the threshold each byte agrees with that probability at least; a pair goes only
+    if five standard deviations are missing (less than one link in a million), counted
+    for as many independent bins as the smaller set has members.
+    """
+    share = percent / 100
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, bins) for c in (4, 5))
+                free = np.minimum(np.minimum(*(batch.column(c).to_numpy() for c in (6, 7))), bins)
+                least = share - 5 * np.sqrt(share * (1 - share) / free)
+                keep = pa.array((a == b).mean(1) >= least)
+                yield pa.RecordBatch.from_arrays(batch.columns[:4], names=["a", "b", "ca", "cb"]).filter(keep)
 
     return run
 
@@ -141,8 +169,8 @@ def near_duplicates(
     shared = settle(placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"), "shared")
     members = settle(placed.join(shared, "bucket").select("bucket", "node"), "members")
     needed = members.select("node").distinct().join(classes.select("node", "doc_id"), "node")
-    texts = settle(_needed_texts(docs, settle(needed, "needed"), shingle_words), "texts")
-    comps = _components(members, texts, shingle_words, percent)
+    texts = settle(_needed_texts(docs, settle(needed, "needed"), shingle_words, bands * rows), "texts")
+    comps = _components(members, texts, shingle_words, percent, bands * rows)
     reach = classes.select("node", F.col("doc_id").alias("least")).join(comps, "node", "left")
     reach = settle(reach.select("node", "least", F.coalesce("comp", "node").alias("comp")), "reach")
     smallest = settle(reach.groupBy("comp").agg(F.min("least").alias("component_id")), "smallest")
@@ -152,28 +180,31 @@ def near_duplicates(
     return linked.union(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _needed_texts(docs: DataFrame, needed: DataFrame, size: int) -> DataFrame:
-    """``[node, text]``: one text for each class that shares a bucket with another."""
+def _needed_texts(docs: DataFrame, needed: DataFrame, size: int, bins: int) -> DataFrame:
+    """``[node, n, sketch, text]``: one text for each class that shares a bucket with another."""
     ids = needed.where("doc_id is not null").select("doc_id").distinct()
     texts = docs.join(ids, "doc_id", "left_semi").select("text")
     if not needed.where("doc_id is null").isEmpty():  # classes of rows without an id
         texts = texts.union(docs.where("doc_id is null").select("text"))
-    named = texts.mapInArrow(_named(size), "node binary, text string")
+    named = texts.mapInArrow(_named(size, bins), "node binary, n bigint, sketch binary, text string")
     return named.join(needed.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
-def _components(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+def _components(members: DataFrame, texts: DataFrame, size: int, percent: int, bins: int) -> DataFrame:
     """``[node, comp]`` over the classes that share buckets; stars until nothing is left to test."""
     assigned = settle(members.select("node").distinct().withColumn("comp", F.col("node")), "assigned")
     members = members.withColumn("comp", F.col("node")).withColumn("done", F.lit(False))
     ta = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     tb = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    wanted = 1
+    sa = texts.select(F.col("node").alias("a"), F.col("sketch").alias("sketch_a"), F.col("n").alias("na"))
+    sb = texts.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b"), F.col("n").alias("nb"))
+    schedule = [(1, []), (4, [])]  # centres of each bucket, before those of each component in it
     while True:
+        wanted, per = schedule.pop(0) if schedule else (int(4 * wanted), ["comp"])
         part = F.pmod(F.xxhash64("node", F.lit(wanted)), F.lit(wanted)).alias("part")
         least = F.min(F.struct("node", "comp")).alias("c")
         centres = settle(
-            members.where("not done").groupBy("bucket", part).agg(least).select("bucket", "c.*"), "centres"
+            members.where("not done").groupBy("bucket", *per, part).agg(least).select("bucket", "c.*"), "centres"
         )
         star = centres.select("bucket", F.col("node").alias("a"), F.col("comp").alias("ca"))
         pairs = settle(
@@ -183,6 +214,13 @@ def _components(members: DataFrame, texts: DataFrame, size: int, percent: int) -
             .distinct(),
             "pairs",
         )
+        pairs = settle(
+            pairs.join(sb, "b")
+            .join(sa, "a")
+            .select("a", "b", "ca", "cb", "sketch_a", "sketch_b", "na", "nb")
+            .mapInArrow(_likely(percent, bins), "a binary, b binary, ca binary, cb binary"),
+            "likely",
+        )
         links = settle(
             pairs.join(tb, "b")
             .join(ta, "a")
@@ -206,7 +244,8 @@ def _components(members: DataFrame, texts: DataFrame, size: int, percent: int) -
         members = settle(now.join(settle(left.where("x <> y").select("bucket"), "left"), "bucket", "left_semi"), "members")
         if members.isEmpty():
             return assigned
-        wanted *= 4
+        if not schedule and not per:
+            wanted = 0.25
 
 
 def keep_one(docs: DataFrame, **settings) -> DataFrame:
