@@ -32,6 +32,9 @@ from tokentally.llm.hashing import mix, shingle_set
 #: A link at the threshold 0.8 shares a band with probability 1 - (1 - 0.8**7)**40 = 0.99992.
 BANDS, ROWS = 40, 7
 
+#: Bytes of text whose sets a task keeps while it confirms links.
+SETS_HELD = 8 << 20
+
 _orders: dict[int, np.ndarray] = {}
 
 
@@ -127,16 +130,30 @@ def _links(size: int, percent: int):
     """Components of the pairs of texts whose full sets are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, held = None, None
+        seen: dict[bytes, np.ndarray] = {}
+        held = 0
+
+        def of(text: bytes) -> np.ndarray:
+            nonlocal held
+            if text not in seen:
+                if held > SETS_HELD:
+                    seen.clear()
+                    held = 0
+                seen[text] = shingle_set(text, size)
+                held += len(text)
+            return seen[text]
+
         for batch in batches:
             keep = []
-            for a, ta, tb in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), text_bytes(batch.column(2))):
-                if a != name:  # rows of one centre come together
-                    name, held = a, shingle_set(ta, size)
-                other = shingle_set(tb, size)
-                both = len(np.intersect1d(held, other, assume_unique=True))
-                keep.append(100 * both >= percent * (len(held) + len(other) - both))
-            links = pa.RecordBatch.from_arrays([batch.column(3), batch.column(4)], names=["a", "b"])
+            for ta, tb in zip(text_bytes(batch.column(0)), text_bytes(batch.column(1))):
+                x, y = of(ta), of(tb)
+                if percent * max(len(x), len(y)) > 100 * min(len(x), len(y)):
+                    keep.append(False)
+                    continue
+                merged = np.sort(np.concatenate([x, y]))
+                both = int((merged[1:] == merged[:-1]).sum())
+                keep.append(100 * both >= percent * (len(merged) - both))
+            links = pa.RecordBatch.from_arrays([batch.column(2), batch.column(3)], names=["a", "b"])
             yield links.filter(pa.array(keep, pa.bool_()))
 
     return run
@@ -224,7 +241,7 @@ def _components(members: DataFrame, texts: DataFrame, size: int, percent: int, b
         links = settle(
             pairs.join(tb, "b")
             .join(ta, "a")
-            .select("a", "text_a", "text_b", "ca", "cb")
+            .select("text_a", "text_b", "ca", "cb")
             .mapInArrow(_links(size, percent), "a binary, b binary"),
             "links",
         )
