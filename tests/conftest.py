@@ -10,7 +10,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from tokentally.session import local_session  # noqa: E402
+from tokentally.session import local_session, remove_scratch  # noqa: E402
 
 SF001 = "/root/testdata/sf0.01"
 SF0001 = "/root/testdata/sf0.001"
@@ -18,9 +18,10 @@ SF0001 = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("*", app="tokentally-tests", **{"spark.sql.shuffle.partitions": "8"})
+    session = local_session(4, app="tokentally-tests", **{"spark.sql.shuffle.partitions": "8"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    remove_scratch(session)
     session.stop()
 
 

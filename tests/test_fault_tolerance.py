@@ -47,7 +47,7 @@ SCRIPT = textwrap.dedent(
         # written (a filter on the grouping key would move below the aggregate).
         return keep.asNondeterministic()
 
-    docs = read_table(spark, "/root/testdata/sf0.01/documents.parquet", "text", schema="text string")
+    docs = read_table(spark, "/root/testdata/sf0.01/documents.parquet", "text")
     lines = docs.select(F.explode(F.split("text", "\\n")).alias("value"))
     expected = {{r.word: r.cnt for r in word_count(lines).collect()}}
 

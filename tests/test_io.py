@@ -181,18 +181,51 @@ def test_gzip_input_is_spread_and_equal(spark, tmp_path):
     text = "".join(f"line {i} a b{i % 7}\n" for i in range(5000)).encode()
     (tmp_path / "plain.txt").write_bytes(text)
     (tmp_path / "packed.txt.gz").write_bytes(gzip.compress(text))
-    packed = read_lines(spark, str(tmp_path / "packed.txt.gz"), widen=True)
+    packed = read_lines(spark, str(tmp_path / "packed.txt.gz"), spread=4)
     assert "RoundRobinPartitioning" in explain_text(packed)
     plain = read_lines(spark, str(tmp_path / "plain.txt"))
     assert sorted(word_count(packed).collect()) == sorted(word_count(plain).collect())
 
 
-def test_many_text_files_are_not_spread(spark, tmp_path):
-    from conftest import explain_text
+@pytest.mark.parametrize(
+    "files", [["top.txt", "sub/in.txt"], ["sub/in.txt"], ["top.txt", "dt=1/in.txt"], ["top.txt", "value=1/in.txt"]]
+)
+def test_nested_folders_are_read_whole(spark, tmp_path, files):
+    for i, name in enumerate(files):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(f"(w{i},{i})\n")
+    assert sorted(r.value for r in read_lines(spark, str(tmp_path)).collect()) == [f"(w{i},{i})" for i in range(len(files))]
+    assert read_lines(spark, str(tmp_path)).columns == ["value"]
+    assert {r.word: r.cnt for r in read_counts(spark, str(tmp_path)).collect()} == {f"w{i}": i for i in range(len(files))}
+    assert result_manifest(spark, str(tmp_path)).count() == len(files)
+
+
+def test_brace_glob(spark, tmp_path):
+    for name in ("a", "b", "c"):
+        (tmp_path / f"{name}.txt").write_text(f"{name}\n")
+    df = read_lines(spark, f"{tmp_path}/{{a,b}}.txt,{tmp_path}/c.txt")
+    assert sorted(r.value for r in df.collect()) == ["a", "b", "c"]
+
+
+def test_garbage_line_fails_for_each_column(spark, tmp_path):
+    (tmp_path / "part-0").write_text("(a,1)\ngarbage\n")
+    for col in ("word", "cnt"):
+        with pytest.raises(Exception, match="not a \\(word,count\\) line"):
+            read_counts(spark, str(tmp_path)).select(col).collect()
+
+
+@pytest.mark.parametrize("word", [None, "a\nb", "a\rb"])
+def test_unreadable_words_are_not_written(spark, tmp_path, word):
+    df = spark.createDataFrame([(word, 1)], "word string, cnt bigint")
+    with pytest.raises(Exception, match="a line cannot hold the word"):
+        write_counts(df, str(tmp_path / "out"))
+
 
-    for i in range(spark.sparkContext.defaultParallelism):
-        (tmp_path / f"{i}.txt").write_bytes(b"x y\n")
-    assert "Exchange" not in explain_text(read_lines(spark, str(tmp_path), widen=True))
+def test_equal_file_names_stay_apart(spark, tmp_path):
+    for d in ("x", "y"):
+        (tmp_path / d).mkdir()
+        (tmp_path / d / "part-00000").write_text("(a,1)\n")
+    assert [tuple(r) for r in result_manifest(spark, f"{tmp_path}/*").collect()] == [("part-00000", 6, 1)] * 2
 
 
 def test_read_lines_glob_and_list(spark, tmp_path):

@@ -1,11 +1,13 @@
 """Physical plan shape of the catalog queries: pruned scans, partial
-aggregates before the exchange, no Python evaluation, widened narrow scans."""
+aggregates before the exchange, no Python evaluation, one plan at every size."""
 
 from __future__ import annotations
 
+import pytest
 from conftest import SF001, explain_text
+from pyspark.errors import AnalysisException
 from tokentally.plans.catalog import QUERIES
-from tokentally.sources.tables import read_table, widen_scan
+from tokentally.sources.tables import read_table
 
 
 def test_word_count_plan(spark):
@@ -17,7 +19,7 @@ def test_word_count_plan(spark):
 
 
 def test_every_query_plan_is_jvm_only(spark):
-    skip = {"text_scan", "sink_roundtrip", "result_manifest", "timed_word_count"}
+    skip = {"text_scan", "sink_roundtrip", "result_manifest_rows", "timed_word_count_rows"}
     for name, fn in QUERIES.items():
         if name in skip:
             continue
@@ -31,25 +33,34 @@ def test_filter_lines_prunes_columns(spark):
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
 
 
-def test_widen_scan_only_when_narrow(spark):
+def test_one_plan_at_every_size_and_core_count(spark, tmp_path):
+    import re
+
+    def shape(sf_dir):
+        plan = explain_text(QUERIES["word_count_documents"](spark, sf_dir), "simple")
+        return re.sub(r"#\d+L?|plan_id=\d+|file:\S+|Location.*", "", plan).split("FileScan")[0]
+
+    wide = tmp_path / "documents.parquet"
+    spark.read.parquet(f"{SF001}/documents.parquet").repartition(16).write.parquet(str(wide))
+    shapes = {shape(d) for d in ("/root/testdata/sf0.001", "/root/testdata/sf0.1", str(tmp_path))}
+    assert len(shapes) == 1
+    assert "RoundRobinPartitioning" not in shapes.pop()
+
+
+def test_spread_is_the_callers_choice(spark):
     path = f"{SF001}/documents.parquet"
-    narrow = read_table(spark, path, "text")
-    assert narrow.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert "RoundRobinPartitioning" in explain_text(narrow)
-    wide_enough = widen_scan(spark.read.parquet(path).select("text"), min_partitions=1)
-    assert "Exchange" not in explain_text(wide_enough)
-
-
-def test_wide_input_keeps_a_single_shuffle(spark, tmp_path):
-    # The same documents in 16 files: at least one split per core, as at scale.
-    wide = str(tmp_path / "documents.parquet")
-    spark.read.parquet(f"{SF001}/documents.parquet").repartition(16).write.parquet(wide)
-    narrow_counts = QUERIES["word_count_documents"](spark, SF001)
-    wide_counts = QUERIES["word_count_documents"](spark, str(tmp_path))
-    plan = explain_text(wide_counts)
-    assert "RoundRobinPartitioning" not in plan
-    assert plan.count("+- Exchange") == 1 and "hashpartitioning(word" in plan
-    assert sorted(wide_counts.collect()) == sorted(narrow_counts.collect())
+    assert "Exchange" not in explain_text(read_table(spark, path, "text"))
+    assert "RoundRobinPartitioning(3)" in explain_text(read_table(spark, path, "text", spread=3))
+
+
+def test_missing_column_raises(spark, tmp_path):
+    spark.createDataFrame([("a",)], "body string").write.parquet(str(tmp_path / "t"))
+    with pytest.raises(AnalysisException):
+        read_table(spark, str(tmp_path / "t"), "text")
+
+
+def test_any_match_stops_early(spark):
+    assert "LocalLimit 1" in explain_text(QUERIES["any_match"](spark, SF001), "simple")
 
 
 def test_tokens_and_partial_aggregate_share_one_codegen_stage(spark):

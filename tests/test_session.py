@@ -18,7 +18,7 @@ def test_cluster_conf_scales_with_cores():
 
     small, big = cluster_conf(8), cluster_conf(8000)
     assert small["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "200"
-    assert big["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "32000"
+    assert big["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "4000"
     assert big["spark.sql.adaptive.enabled"] == "true"
     assert big["spark.io.compression.codec"] == "zstd"
     assert big["spark.sql.codegen.aggregate.map.twolevel.enabled"] == "false"

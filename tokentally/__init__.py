@@ -28,7 +28,6 @@ from tokentally.sources import (
     read_table,
     result_manifest,
     split_lines,
-    widen_scan,
 )
 
 __all__ = [
@@ -50,7 +49,6 @@ __all__ = [
     "texts_holding",
     "timed_word_count",
     "tokenize",
-    "widen_scan",
     "word_count",
     "word_pairs",
     "write_counts",

@@ -16,13 +16,12 @@ import time
 
 from pyspark.sql import SparkSession
 
+from tokentally.functions.text import ELAPSED_LABEL
 from tokentally.operators.counts import word_count
 from tokentally.session import fresh_path
 from tokentally.sinks.text import write_counts
 from tokentally.sources.text import read_lines
 
-RULE = "======================"
-
 
 def main(argv: list[str] | None = None) -> str:
     parser = argparse.ArgumentParser(prog="tokentally", description=__doc__.split("\n\n")[0])
@@ -30,14 +29,12 @@ def main(argv: list[str] | None = None) -> str:
     parser.add_argument("output", nargs="?", help="result folder (must not exist)")
     args = parser.parse_args(argv)
 
-    spark = SparkSession.builder.appName("WordCount").getOrCreate()
+    spark = SparkSession.builder.appName("tokentally").getOrCreate()
     output = args.output or fresh_path(spark, "result")
     start = time.monotonic()
-    write_counts(word_count(read_lines(spark, args.input, widen=True)), output)
+    write_counts(word_count(read_lines(spark, args.input)), output)
     elapsed_ms = int((time.monotonic() - start) * 1000)
-    print(RULE)
-    print(f"time in ms :{elapsed_ms}")
-    print(RULE)
+    print(f"{ELAPSED_LABEL}{elapsed_ms}")
     print(f"result: {output}")
     return output
 

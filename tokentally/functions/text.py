@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 #   NON_ALNUM       separator runs of `tr -cs '[:alnum:]'` in the C locale
 #   PAIR_OPEN, PAIR_SEP, PAIR_CLOSE
 #                   the text form of one count, `(word,count)`: no quotes, no space
+#   ELAPSED_LABEL   what the timed job prints before the milliseconds
 LINE_BREAK = "\r\n|\r|\n"
 SPACE = " "
 NON_ALNUM = "[^A-Za-z0-9]+"
 PAIR_OPEN, PAIR_SEP, PAIR_CLOSE = "(", ",", ")"
+ELAPSED_LABEL = "time in ms :"
 
 _FINAL_BREAK = "(" + LINE_BREAK + ")\\z"
 
@@ -86,24 +88,40 @@ def _pair_tail(value: Column) -> Column:
     return F.substring_index(value, PAIR_SEP, -1)
 
 
+def _tail_count(v: Column) -> Column:
+    tail = _pair_tail(v)
+    return F.substring(tail, F.lit(1), F.length(tail) - 1).try_cast("bigint")
+
+
+def _of_pair(v: Column, part: Column) -> Column:
+    """``part`` of a well-formed pair line; any other line fails the job."""
+    opens, closes = v.startswith(PAIR_OPEN), v.endswith(PAIR_CLOSE)
+    well_formed = opens & closes & v.contains(PAIR_SEP) & _tail_count(v).isNotNull()
+    return F.when(well_formed, part).otherwise(
+        F.raise_error(F.concat(F.lit("not a (word,count) line: "), v))
+    )
+
+
 def pair_word(value: str | Column) -> Column:
     """The word of a ``(word,count)`` line: between ``(`` and the last comma.
 
     Plain string functions, no regular expression: a word may itself hold
-    commas and parentheses because the count follows the last comma.
+    commas and parentheses because the count follows the last comma. A
+    malformed line fails the job.
     """
     v = _col(value)
-    return F.substring(v, F.lit(2), F.length(v) - F.length(_pair_tail(v)) - 2)
+    return _of_pair(v, F.substring(v, F.lit(2), F.length(v) - F.length(_pair_tail(v)) - 2))
 
 
 def pair_count(value: str | Column) -> Column:
     """The count of a ``(word,count)`` line as bigint; a malformed line fails the job."""
     v = _col(value)
-    tail = _pair_tail(v)
-    cnt = F.substring(tail, F.lit(1), F.length(tail) - 1).try_cast("bigint")
-    well_formed = (
-        v.startswith(PAIR_OPEN) & v.endswith(PAIR_CLOSE) & v.contains(PAIR_SEP) & cnt.isNotNull()
-    )
-    return F.when(well_formed, cnt).otherwise(
-        F.raise_error(F.concat(F.lit("not a (word,count) line: "), v))
-    )
+    return _of_pair(v, _tail_count(v))
+
+
+def writable(word: str | Column) -> Column:
+    """The word, if one line of text can hold it; null or a line break fails the job."""
+    w = _col(word)
+    broken = w.isNull() | w.contains("\n") | w.contains("\r")
+    message = F.concat(F.lit("a line cannot hold the word: "), F.coalesce(w, F.lit("null")))
+    return F.when(broken, F.raise_error(message)).otherwise(w)

@@ -37,8 +37,8 @@ def filter_tokens(df: DataFrame, needle: str, col: str = "token") -> DataFrame:
 def any_match(df: DataFrame, needle: str, col: str = "token") -> DataFrame:
     """One row ``[matched boolean]``: does any ``col`` hold ``needle``?
 
-    A global aggregate (partial per task, one final row); false, not null,
-    on empty input.
+    Each task stops at its first hit (a limit below the one-row aggregate);
+    false, not null, on empty input.
     """
-    hit = F.bool_or(F.col(col).contains(F.lit(needle)))
-    return df.agg(F.coalesce(hit, F.lit(False)).alias("matched"))
+    hit = df.where(F.col(col).contains(F.lit(needle))).limit(1)
+    return hit.agg((F.count(F.lit(1)) > 0).alias("matched"))

@@ -28,21 +28,12 @@ from tokentally.sources.text import read_lines, split_lines
 # Fixed value: the literal the line and token filters look for in the tables.
 NEEDLE = "icense"
 
-# Types of the driver-table columns the catalog reads.
-TABLE_COLUMNS = {
-    "documents": "doc_id bigint, text string",
-    "conversations": "conv_id bigint, text string",
-    "pages": "page_id bigint, html string",
-    "part": "p_partkey bigint, p_name string",
-    "benchmark": "item_id bigint, text string",
-}
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return read_table(spark, path, *cols, schema=TABLE_COLUMNS.get(name))
+    return read_table(spark, path, *cols)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,7 +95,7 @@ def q_text_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "lines")
     lines = split_lines(table(spark, sf_dir, "documents", "text"), "text", with_position=False)
     lines.write.mode("errorifexists").text(path)
-    return word_count(read_lines(spark, path, widen=True), "value")
+    return word_count(read_lines(spark, path), "value")
 
 
 def q_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,9 +116,9 @@ def q_timed_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_result_manifest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The deterministic part of the manifest: rows over all result files."""
+    """The deterministic part of the manifest: rows and bytes over all result files."""
     manifest = q_result_manifest(spark, sf_dir)
-    return manifest.agg(F.sum("rows").alias("rows"))
+    return manifest.agg(F.sum("rows").alias("rows"), F.sum("file_size").alias("file_size"))
 
 
 def q_timed_word_count_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,12 +164,10 @@ QUERIES: dict[str, Query] = {
     "format_pairs": q_format_pairs,
     "text_scan": q_text_scan,
     "sink_roundtrip": q_sink_roundtrip,
-    "result_manifest": q_result_manifest,
     "filter_lines": q_filter_lines,
     "alnum_tokens": q_alnum_tokens,
     "filter_tokens": q_filter_tokens,
     "any_match": q_any_match,
-    "timed_word_count": q_timed_word_count,
     "result_manifest_rows": q_result_manifest_rows,
     "timed_word_count_rows": q_timed_word_count_rows,
 }

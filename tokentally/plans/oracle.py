@@ -62,6 +62,8 @@ ORACLE_SQL: dict[str, str] = {
     + "SELECT token, count(*) AS cnt FROM al WHERE contains(token, 'icense') GROUP BY token",
     "any_match": ctes()
     + "SELECT coalesce(bool_or(contains(token, 'icense')), false) AS matched FROM al",
-    "result_manifest_rows": ctes() + "SELECT count(*)::BIGINT AS rows FROM wc",
+    "result_manifest_rows": ctes()
+    + "SELECT count(*)::BIGINT AS rows, "
+    + "sum(octet_length(encode('(' || word || ',' || cnt || ')')) + 1)::BIGINT AS file_size FROM wc",
     "timed_word_count_rows": ctes() + "SELECT count(*)::BIGINT AS rows FROM wc",
 }

@@ -3,8 +3,8 @@
 Library code never picks a machine-local folder on its own. Files that must
 outlive one call (written results that a lazy DataFrame reads later) go under
 the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
-Only when that setting is absent *and* the master is local (tests, laptops)
-do we make a temporary folder and register it as the checkpoint folder.
+Where it is not set they raise; ``local_session`` sets it for tests and the bench.
+``remove_scratch`` deletes what this application left there.
 """
 
 from __future__ import annotations
@@ -30,14 +30,16 @@ SCALE_CONF = {
 def cluster_conf(total_cores: int) -> dict[str, str]:
     """Session settings for a large word count, to pass to ``SparkSession.builder``.
 
-    * adaptive execution, with the first shuffle cut into 4 partitions per
-      core (never fewer than 200) that are then coalesced to about 128 MB
+    * adaptive execution, with the first shuffle cut into 200 to 4,000
+      partitions, not more with more cores: the partial counts are bounded by the
+      vocabulary, and every partition costs each map task a shuffle block; they
+      are then coalesced to about 128 MB
       (``parallelismFirst`` off, so the advisory size is honoured and the
       sink writes ~128 MB files, not many small ones): the partial-aggregate
       output is roughly one row per distinct word per map task, so its size
       is only known at run time;
-    * 256 MB input splits: larger map tasks combine more tokens per word
-      before the shuffle (a Parquet row group stays the unit of a split);
+    * 1 GB input splits: larger map tasks combine more tokens per word
+      before the shuffle, and there are fewer of them (a Parquet row group stays the unit of a split);
     * zstd for shuffle blocks: on ten copies of the sf0.1 documents it wrote
       29 MB instead of lz4's 52 MB for the partial-aggregate output (words
       compress well), which is what crosses the network at scale.
@@ -46,9 +48,9 @@ def cluster_conf(total_cores: int) -> dict[str, str]:
         **SCALE_CONF,
         "spark.io.compression.codec": "zstd",
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(max(200, 4 * total_cores)),
-        "spark.sql.shuffle.partitions": str(max(200, 4 * total_cores)),
-        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(min(4000, max(200, 4 * total_cores))),
+        "spark.sql.shuffle.partitions": str(min(4000, max(200, 4 * total_cores))),
+        "spark.sql.files.maxPartitionBytes": "1g",
     }
 
 
@@ -63,6 +65,8 @@ def local_session(cores: int | str = "*", app: str = "tokentally", **conf: str)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(n or 8))
     )
+    if "spark.checkpoint.dir" not in conf:
+        conf = {**conf, "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tokentally-ckpt-")}
     for key, value in {**SCALE_CONF, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
@@ -71,8 +75,8 @@ def local_session(cores: int | str = "*", app: str = "tokentally", **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """This application's folder under ``spark.checkpoint.dir``.
 
-    Raises on a cluster when the setting is missing: a temporary folder of
-    the driver machine is not visible to executors.
+    Raises when the setting is missing: a folder of the driver's machine is not
+    visible to executors.
     """
     try:
         sc = spark.sparkContext
@@ -88,8 +92,6 @@ def shared_dir(spark: SparkSession) -> str:
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tokentally-ckpt-"))
     else:
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a folder every executor can reach"
@@ -98,5 +100,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new, not yet existing path ``<shared_dir>/tokentally/<uuid>/<name>``."""
-    return f"{shared_dir(spark).rstrip('/')}/tokentally/{uuid.uuid4().hex}/{name}"
+    """A new, not yet existing path ``<shared_dir>/tokentally/<application>/<uuid>/<name>``."""
+    return f"{_scratch(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def _scratch(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/tokentally/{spark.sparkContext.applicationId}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch files, through the file system that holds them.
+
+    Results that still read them fail afterwards: call it at the end of a run.
+    """
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(_scratch(spark))
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)

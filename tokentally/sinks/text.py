@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tokentally.functions.text import pair_text
+from tokentally.functions.text import pair_text, writable
 
 
 def format_pairs(df: DataFrame, word: str = "word", cnt: str = "cnt") -> DataFrame:
@@ -17,6 +17,8 @@ def write_counts(df: DataFrame, path: str, word: str = "word", cnt: str = "cnt")
 
     Fails if ``path`` exists. One part file per partition of ``df`` plus
     ``_SUCCESS``, committed by the output committer, so a lost task is
-    simply retried; consumers read the folder, not a single part file.
+    simply retried; consumers read the folder, not a single part file. A null word
+    or one with a line break, which could not be read back, fails the job.
     """
-    format_pairs(df, word, cnt).write.mode("errorifexists").text(path)
+    lines = df.select(pair_text(writable(word), cnt).alias("value"))
+    lines.write.mode("errorifexists").text(path)

@@ -13,9 +13,11 @@ def read_counts(spark: SparkSession, path: str) -> DataFrame:
 
     The whole folder is read (all part files, however many the job wrote).
     The word is taken as is -- it is not tokenised again -- and may hold
-    commas or parentheses. A line that is not a pair fails the job.
+    commas or parentheses. Folders inside are read too. A line that is not a
+    pair fails every query that uses a column; a bare ``count()`` uses none and
+    only counts lines.
     """
-    lines = spark.read.text(path)
+    lines = spark.read.option("recursiveFileLookup", "true").text(path)
     return lines.select(pair_word("value").alias("word"), pair_count("value").alias("cnt"))
 
 
@@ -24,10 +26,13 @@ def result_manifest(spark: SparkSession, path: str) -> DataFrame:
 
     Built from the file-source ``_metadata`` column, so the listing and the
     row count come from one distributed scan; hidden files such as
-    ``_SUCCESS`` and empty part files have no rows and are not listed.
+    ``_SUCCESS`` and empty part files have no rows and are not listed. Files of
+    one name in different folders are different rows.
     """
-    lines = spark.read.text(path)
-    return lines.groupBy(
+    lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    files = lines.groupBy(
+        F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_size").alias("file_size"),
-    ).agg(F.count(F.lit(1)).alias("rows"))
+    )
+    return files.agg(F.count(F.lit(1)).alias("rows")).drop("file_path")

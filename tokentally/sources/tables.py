@@ -1,55 +1,18 @@
-"""Parquet table scans, widened when the input is too narrow for the cluster."""
+"""Parquet table scans."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def widen_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a narrow scan over the cluster's cores before heavy per-row work.
+def read_table(spark: SparkSession, path: str, *cols: str, spread: int | None = None) -> DataFrame:
+    """Read a Parquet table with only ``cols`` (pruned at the scan; one that is missing raises).
 
-    A file scan runs one task per split and a Parquet row group is never
-    split, so a table stored as one large row group is tokenised by one task
-    while the other cores idle. When the scan has fewer splits than
-    ``min_partitions`` (default: the cluster's cores), a round-robin
-    repartition spreads the rows first. It fires only when most cores would
-    otherwise idle, and the bytes it moves are at most cores x split size.
-    A large input (many splits per core, the 100 TB case) is returned
-    unchanged, with no extra shuffle. Round robin, not a hash of the text,
-    so exact copies of one document (or the many blank lines of a text
-    file) cannot pile onto one task. Spark sorts each input split before a
-    round-robin exchange so that a retried task sends every row to the same
-    place; that sort is bounded by one split (a Parquet row group, or one
-    compressed text file) and is the price of surviving a lost executor.
-
-    Call it on a scan, not on a plan that already shuffles: counting the
-    splits plans the scan but runs no job.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except (AttributeError, NotImplementedError):
-        return df  # a remote (Connect) session: no split count, keep the scan as is
-    if splits >= target:
-        return df
-    return df.repartition(target)
-
-
-def read_table(
-    spark: SparkSession,
-    path: str,
-    *cols: str,
-    schema: str | None = None,
-    widen: bool = True,
-) -> DataFrame:
-    """Read a Parquet table with only ``cols`` (pruned at the scan).
-
-    ``schema`` is a DDL string of the columns to read. Given, it spares the
-    small job that reads a file footer to infer the schema; columns are then
-    matched by name.
+    ``spread=N`` deals the rows round-robin over N tasks first. That shuffles every
+    row read, so it pays only for a table of a few huge row groups (a row group is never
+    split); no size is looked at, the caller decides.
     """
-    reader = spark.read.schema(schema) if schema else spark.read
-    df = reader.parquet(path)
+    df = spark.read.parquet(path)
     if cols:
         df = df.select(*cols)
-    return widen_scan(df) if widen else df
+    return df.repartition(spread) if spread else df

@@ -2,39 +2,41 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokentally.functions.text import lines_of
-from tokentally.sources.tables import widen_scan
 
 
 def _path_list(paths: str | Sequence[str]) -> list[str]:
     if isinstance(paths, str):
-        # A comma-joined string is a list of paths, as for SparkContext.textFile.
-        return [p for p in paths.split(",") if p]
+        # A comma-joined string is a list of paths, as for SparkContext.textFile;
+        # a comma inside braces belongs to the glob.
+        return [p for p in re.split(r",(?![^{}]*\})", paths) if p]
     return list(paths)
 
 
 def read_lines(
-    spark: SparkSession, paths: str | Sequence[str], *, widen: bool = False
+    spark: SparkSession, paths: str | Sequence[str], *, spread: int | None = None
 ) -> DataFrame:
     """One row per line of the files, directories or globs: ``[value string]``.
 
     Lines end at ``\\n``, ``\\r\\n`` or ``\\r``; a UTF-8 byte-order mark at the
     start of a file is dropped by the line reader. Malformed UTF-8 is decoded
-    to U+FFFD, as a JVM string decoder does, so bad spellings of one word
-    become one key. Lines come in file order. Plain text files are split by
-    size; a compressed file (gzip) is one split, so for counting pass
-    ``widen=True``: when the scan has fewer splits than cores its lines are
-    spread round-robin (order is then lost) before tokenising. A missing path
-    is an error.
+    to U+FFFD, so bad spellings of one word become one key; an encoded surrogate
+    gives three of them, where a JVM decoder gives one. Folders are read with all
+    folders inside them, and a folder named ``key=value`` is no partition column (the
+    text source of the RDD API fails on nested folders). Lines come in file
+    order. Plain text files are split by size; a compressed file (gzip) is one
+    split: ``spread=N`` deals the lines over N tasks (order is then lost), a shuffle
+    of all of them. A missing path is an error.
     """
-    raw = spark.read.text(_path_list(paths))
-    if widen:
-        raw = widen_scan(raw)
+    raw = spark.read.option("recursiveFileLookup", "true").text(_path_list(paths))
+    if spread:
+        raw = raw.repartition(spread)
     return raw.select(F.make_valid_utf8("value").alias("value"))
 
 
@@ -47,7 +49,8 @@ def split_lines(
 ) -> DataFrame:
     """Lines of a text column: ``[keys..., line_no bigint, line string]``.
 
-    The line rule is the one ``read_lines`` applies to files. ``line_no`` is
+    The line rule is the one ``read_lines`` applies to files, but a byte-order mark
+    in a column is kept as text. ``line_no`` is
     0-based; with ``with_position=False`` it is left out (cheaper when only
     the lines matter). Null or empty texts give no rows.
     """
