@@ -1,0 +1,197 @@
+"""Personal data, licences, secrets, quality rules, the classifier and the pipeline."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+import corpus_pipeline
+from tokentally.llm import bytecnn, licenses, linefreq, pii, secret_scan
+from tokentally.llm.common import table
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def plain_spans(t):
+    out = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t):
+        if all(int(p) <= 255 for p in m[0].split(".")):
+            out.append((m.start(), 1, m.end()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t):
+        digits = re.sub("[^0-9]", "", m[0])
+        if 12 <= len(digits) <= 19 and pii.luhn(digits):
+            out.append((m.start(), 2, m.end()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t):
+        if 9 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
+            out.append((m.start(), 3, m.end()))
+    return sorted(out)
+
+
+def test_base_spans_equal_the_patterns():
+    r = random.Random(3)
+    for _ in range(20_000):
+        t = "".join(r.choice("aB@.+0123456789 -()_4é") for _ in range(r.randrange(40)))
+        assert pii.base_and_loose(t)[0] == plain_spans(t), repr(t)
+
+
+def test_long_runs_take_no_square_time():
+    for c in ("a", "1", "1.", "1 ", "+", "+1", "@", "a@"):
+        pii.base_and_loose(c * 200_000)
+
+
+@pytest.mark.parametrize("which", ["edge", "small"])
+def test_personal_data(request, which):
+    docs = request.getfixturevalue(which)
+    got = pii.find_personal_data(docs).collect()
+    want = Counter()
+    for r in docs.select("doc_id", "text").collect():
+        found = plain_spans(r.text or "") if len(r.text or "") < 200_000 else []
+        counts = Counter(k for _, k, _ in found)
+        want[r.doc_id, *(counts[k] for k in range(4)), hashlib.sha256(pii._written(found).encode()).hexdigest()] += 1
+    assert Counter(tuple(r)[:6] for r in got) == want
+    assert all(len([s for s in r.spans.split(",") if s]) == sum(tuple(r)[1:5]) + r.n_added for r in got)
+
+
+def test_reliable_labelers_win():
+    good, bad = pii._pattern("mail a.b@c.org now", 5, 0, 14, True), pii._pattern("x 1234 5678 9012 3456", 2, 2, 21, False)
+    _, belief = pii.reliabilities([good, bad], pii.np.array([50.0, 50.0]))
+    assert belief[0] > 0.9 > 0.1 > belief[1]
+
+
+def test_no_candidates_and_nothing(spark, nothing):
+    assert pii.find_personal_data(nothing).count() == 0
+    row = pii.find_personal_data(spark.createDataFrame([(1, "plain")], "doc_id bigint, text string")).collect()[0]
+    assert row.spans == "" and row.base_sha256 == hashlib.sha256(b"").hexdigest()
+
+
+@pytest.mark.parametrize("which", ["edge", "small"])
+def test_licences(request, which):
+    docs = request.getfixturevalue(which)
+    word = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    phrases = {tuple(k.encode().split()): v for k, v in licenses.PHRASES.items()}
+    want = Counter()
+    for r in docs.select("doc_id", "text").collect():
+        w = word.findall((r.text or "").encode().lower())
+        places = [(i, v) for k, v in phrases.items() for i in range(len(w)) if tuple(w[i : i + len(k)]) == k]
+        starts = [i for i, _ in places]
+        want[r.doc_id, len(w), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted({v for _, v in places}))] += 1
+    got = licenses.scan_licenses(docs).collect()
+    assert Counter(tuple(r)[:6] for r in got) == want
+    assert all(set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) and 0 <= r.score <= 1 for r in got)
+
+
+def test_licence_templates(spark, nothing):
+    texts = [
+        "x MIT-License; the mit license! MIT\nLICENSE",
+        "Licensed under the Apache License, Version 2.0.",
+        "Licensed under CC BY-NC 4.0.",
+        "This work is licensed under the GNU General Public License, version 3.",
+        "permission was hereby granted",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: (r.n_base, r.labels) for r in licenses.scan_licenses(df).collect()}
+    assert got == {0: (3, "mit"), 1: (1, "apache,apache-2.0"), 2: (0, "cc-by-nc-4.0"), 3: (1, "gpl,gpl-3.0"), 4: (0, "")}
+    assert licenses.scan_licenses(nothing).count() == 0
+
+
+def plain_counts(t):
+    w = WORD.findall(t)
+    seen = Counter(tuple(w[i : i + 8]) for i in range(len(w) - 7))
+    covered = {j for i in range(len(w) - 7) if seen[tuple(w[i : i + 8])] > 1 for j in range(i, i + 8)}
+    lines = [x for x in t.split("\n") if WORD.search(x)]
+    failed = len(w) < 20 or 100 * len(covered) > 30 * len(w)
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(covered), failed
+
+
+@pytest.mark.parametrize("which", ["edge", "small"])
+def test_line_quality(request, which):
+    docs = request.getfixturevalue(which)
+    got = Counter(tuple(r)[:7] for r in linefreq.line_quality(docs).collect())
+    assert got == Counter((r.doc_id, *plain_counts(r.text or "")) for r in docs.select("doc_id", "text").collect())
+    assert linefreq.keep_quality(docs).columns == docs.columns
+
+
+def test_shared_lines_are_removed(spark, nothing):
+    def own(i, j):  # digits would be normalised away
+        return " ".join("own" + "".join("abcdefghij"[int(c)] for c in f"{i:03}{j}{k:02}") for k in range(12))
+
+    common = " ".join(f"menu{k}" for k in range(60))
+    copy = "\n".join(own(900, j) for j in range(4))
+    rows = [(i, f"{own(i, 0)}\n{common.upper()}\n{own(i, 1)}", "host") for i in range(30)]
+    rows += [(100 + i, f"{own(i, 2)}\n{common}\n{own(i, 3)}", f"other{i}") for i in range(30)]  # few on each host
+    rows += [(200 + i, copy + f"\nlast line number {i} of copy", "host") for i in range(30)]  # near copies
+    rows += [(300 + i, copy, "host") for i in range(30)] + [(400 + i, common + f" {i}x", None) for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    kept = {r.doc_id: r.kept for r in linefreq.line_quality(df, max_documents=10, max_settings=5, least_left_percent=50).collect()}
+    assert {i for i, k in kept.items() if not k} == set(range(30))
+    assert linefreq.keep_quality(df, max_documents=10, max_settings=5, least_left_percent=50).count() == len(rows) - 30
+    assert linefreq.line_quality(nothing).count() == 0
+
+
+def test_secrets(spark, edge, nothing):
+    value = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    got = secret_scan.scan_secrets(edge).where("secret").collect()
+    assert [(r.doc_id, r.start, r.value) for r in got] == [(11, 9, value)]
+    hidden = secret_scan.hide_secrets(edge)
+    assert hidden.columns == edge.columns and hidden.count() == edge.count()
+    row = hidden.where("doc_id = 11").collect()[0]
+    assert value not in row.text and "[SECRET]" in row.text and row.n_chars == len(row.text)
+    assert secret_scan.scan_secrets(nothing).count() == 0
+
+
+def test_secrets_of_a_table(small):
+    """The forest's verdicts against the plain rule of the planted ones, at the same places."""
+    found = {(r.doc_id, r.start, r.value) for r in secret_scan.scan_secrets(small).where("secret").collect()}
+    want = {
+        (r.doc_id, m.start(1), m[1])
+        for r in small.select("doc_id", "text").collect()
+        for m in re.finditer(r'token = "([0-9a-f]{40})"', r.text)
+    }
+    assert found == want
+
+
+def test_classifier_held_out(spark):
+    d = "/root/testdata/sf0.01"
+    labels = table(spark, d, "labels")
+    got = bytecnn.score_quality(table(spark, d, "documents"), labels)
+    assert got.columns == ["doc_id", "held_out", "score", "predicted"]
+    rows = {r.doc_id: r for r in got.collect()}
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 4 == 2) and 0 <= r.score <= 1 for i, r in rows.items())
+    held = [(rows[r.doc_id].predicted, r.quality) for r in labels.collect() if rows[r.doc_id].held_out]
+    assert sum(p == q for p, q in held) / len(held) > 0.9
+
+
+def test_classifier_edges(spark, edge, nothing):
+    none = spark.createDataFrame([], "doc_id bigint, quality int")
+    assert {r.score for r in bytecnn.score_quality(edge, none).collect()} == {0.5}
+    some = spark.createDataFrame([(4, 1), (7, 0), (7, 1), (None, 1), (9, None), (11, 0)], "doc_id bigint, quality int")
+    assert bytecnn.score_quality(edge, some).count() == edge.count()
+    assert bytecnn.score_quality(nothing, some).count() == 0
+    assert bytecnn.keep_good(edge, some).columns == edge.columns
+
+
+def test_chunks_cover_every_byte():
+    for n in (0, 1, 1024, 1025, 1792, 1793, 100_000):
+        starts = bytecnn.chunk_starts(n)
+        assert starts[0] == 0 and starts[-1] + bytecnn.CHUNK >= n
+        assert all(b - a == bytecnn.STEP for a, b in zip(starts, starts[1:]))
+
+
+def test_pipeline_keeps_columns(spark):
+    d = "/root/testdata/sf0.001"
+    docs = table(spark, d, "documents")
+    columns, ids = docs.columns, {r.doc_id for r in docs.select("doc_id").collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.settle(stage(spark, docs, d), name)
+        assert docs.columns == columns, name
+        left = [r.doc_id for r in docs.select("doc_id").collect()]
+        assert set(left) <= ids and len(left) == len(set(left)) and len(left) > 100, name
+        ids = set(left)
+    assert not docs.where('text rlike \'token = "[0-9a-f]{40}"\'').count()
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, d)
+    assert {r.doc_id for r in packed.select("doc_id").collect()} == ids

@@ -1,0 +1,146 @@
+"""Encoders, the token file and packing against the libraries on whole texts."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from tokentally.llm import bitplane, bytebpe, packing, wordbpe
+from tokentally.llm.catalog import BYTE_RANKS, WORD_BPE
+from tokentally.session import fresh_path
+
+PLAIN = Tokenizer.from_file(WORD_BPE)
+PLAIN.encode_special_tokens = True
+
+
+def ids_of(text: str) -> list[int]:
+    return PLAIN.encode(text, add_special_tokens=False).ids
+
+
+def crc(ids) -> int:
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def rows_of(df):
+    return [(r.doc_id, r.text or "") for r in df.select("doc_id", "text").collect()]
+
+
+def test_word_parts_equal_whole_texts():
+    coder, r = wordbpe.WordEncoder(wordbpe.definition(WORD_BPE), kept=200), random.Random(1)
+    letters = "aAbBéÉßsS'tTrRe .,!?0123٣½ \t\n\x0b\x0c\x1c\x85\xa0　WwǰİıΣσςÅ̧̊ñ漢字한ﬁ😀‍-_\"“”"
+    for _ in range(5000):
+        text = "".join(r.choice(letters) for _ in range(r.randrange(14)))
+        assert np.frombuffer(coder.encode(text.encode()), "<u4").tolist() == ids_of(text), repr(text)
+
+
+@pytest.mark.parametrize("kind", ["byte", "bit"])
+@settings(max_examples=30, deadline=None)
+@given(ids=st.lists(st.integers(0, 2**32 - 1), max_size=50))
+def test_planes_round_trip(kind, ids):
+    a = np.array(ids, "<u4")
+    payload, ends = bitplane.pack_block(a, kind)
+    assert bitplane.unpack_block(payload, ends, kind, len(ids)).tolist() == ids
+
+
+@given(st.lists(st.binary(max_size=40), max_size=6))
+def test_checksums_join(parts):
+    assert bitplane.crc32_join([(zlib.crc32(p), len(p)) for p in parts]) == zlib.crc32(b"".join(parts))
+
+
+@pytest.mark.parametrize("which", ["edge", "small"])
+def test_token_file(spark, request, which):
+    docs = request.getfixturevalue(which)
+    path = fresh_path(spark, "ids")
+    bitplane.write_ids(docs, path, WORD_BPE, block_ids=1000)  # documents cross blocks
+    got = sorted(tuple(r) for r in bitplane.read_digest(spark, path).fillna(-1, "doc_id").collect())
+    assert bitplane.read_digest(spark, path).columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+    plain = [(-1 if i is None else i, ids_of(t) + [2]) for i, t in rows_of(docs)]
+    assert Counter((i, n, c) for i, _, n, c in got) == Counter((i, len(x), crc(x)) for i, x in plain)
+    assert [i for i, *_ in sorted(got, key=lambda r: r[1])] == sorted(i for i, _ in plain)
+    ends = np.cumsum([n for _, _, n, _ in sorted(got, key=lambda r: r[1])])
+    assert sorted(s for _, s, _, _ in got) == [0, *ends[:-1].tolist()]
+
+
+def test_token_file_of_nothing(spark, nothing):
+    assert bitplane.token_file(nothing, fresh_path(spark, "ids"), WORD_BPE).count() == 0
+
+
+@pytest.mark.parametrize("which", ["edge", "small"])
+def test_packing(request, which):
+    docs = request.getfixturevalue(which)
+    got = packing.pack_documents(docs, WORD_BPE, keep_ids=True).collect()
+    assert {len(r.ids) // 4 == r.length and zlib.crc32(r.ids) == r.ids_crc32 for r in got} == {True}
+    want = Counter()
+    for i, t in rows_of(docs):
+        ids = ids_of(t) + [0]
+        want.update((i, p, a, crc(ids[a : a + 2048])) for p, a in enumerate(range(0, len(ids), 2048)))
+    assert Counter((r.doc_id, r.piece, r.start, r.ids_crc32) for r in got) == want
+    bins = defaultdict(list)
+    for r in got:
+        bins[r.sequence_id].append((r.offset, r.length))
+    for parts in bins.values():
+        parts.sort()
+        assert [o for o, _ in parts] == [0, *np.cumsum([n for _, n in parts])[:-1].tolist()]
+        assert sum(n for _, n in parts) <= 2048
+    assert len(bins) <= -(-sum(r.length for r in got) // 2048) + 1
+
+
+def test_packing_of_nothing(nothing):
+    assert packing.pack_documents(nothing, WORD_BPE).count() == 0
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 12), max_size=14), st.integers(0, 20))
+def test_fullest_is_the_best_subset(lengths, room):
+    counts = np.bincount(lengths, minlength=22)
+    chosen = packing.fullest(counts, room)
+    best = {0}
+    for n in lengths:
+        best |= {b + n for b in best}
+    assert sum(chosen) == max(b for b in best if b <= room)
+    assert not Counter(chosen) - Counter(lengths)
+
+
+@given(st.lists(st.integers(1, 30), max_size=40))
+def test_plan_places_every_piece(lengths):
+    counts = np.bincount(lengths, minlength=31)
+    placed = Counter()
+    for bins, inside in packing.plan(counts):
+        assert sum(inside) <= 30
+        for n in inside:
+            placed[n] += bins
+    assert placed == Counter(lengths)
+
+
+@pytest.mark.parametrize("which", ["edge", "small"])
+def test_byte_bpe(request, which):
+    docs = request.getfixturevalue(which)
+    coder = bytebpe.encoding(bytebpe._ranks(BYTE_RANKS), public_tokenizers.PATTERN)
+    got = bytebpe.round_trip(docs, BYTE_RANKS, public_tokenizers.PATTERN).collect()
+    want = Counter()
+    for i, t in rows_of(docs):
+        ids = coder.encode_ordinary(t)
+        want[i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(t.encode()).hexdigest()] += 1
+    assert Counter(map(tuple, got)) == want
+    back = bytebpe.decode_ids(bytebpe.encode_texts(docs, BYTE_RANKS, public_tokenizers.PATTERN), BYTE_RANKS, public_tokenizers.PATTERN)
+    assert Counter((r.doc_id, bytes(r.bytes)) for r in back.collect()) == Counter((i, t.encode()) for i, t in rows_of(docs))
+
+
+def test_safe_parts_change_no_id():
+    coder, r = bytebpe.encoding(bytebpe._ranks(BYTE_RANKS), public_tokenizers.PATTERN), random.Random(2)
+    for _ in range(5000):
+        text = "".join(r.choice("aAzZ09 \n\t'sé.ß\x1c\xa0　 !漢٣") for _ in range(r.randrange(40)))
+        assert bytebpe.encode(coder, text, 3) == coder.encode_ordinary(text), repr(text)
+
+
+def test_byte_bpe_of_nothing(nothing):
+    assert bytebpe.round_trip(nothing, BYTE_RANKS, public_tokenizers.PATTERN).count() == 0

@@ -22,8 +22,10 @@ from tokentally.llm.common import free_name, ship_code, text_bytes
 
 EMBED, WIDTH, FILTERS, HIDDEN = 8, 7, 16, 16
 CHUNK, STEP = 1024, 768
-#: Bounds of the training sample, passes over it, and the score from which a text is good.
-SAMPLE_ROWS, TRAIN_CHUNKS, EPOCHS, GOOD_FROM = 4000, 6, 10, 0.7
+#: Bounds of the training sample, training steps whatever its size, and the score from which a text is good.
+SAMPLE_ROWS, TRAIN_CHUNKS, STEPS, GOOD_FROM = 4000, 6, 1250, 0.7
+#: Weight decay.
+DECAY = 1e-3
 #: Texts are convolved this many chunk steps at a time.
 STEPS_AT_ONCE = 64
 
@@ -106,26 +108,25 @@ class Network:
         np.add.at(total["embed"], bytes_at, d[:, :, None, None] * w["taps"].transpose(2, 0, 1)[None])
 
 
-def train(rows: list[tuple[list[bytes], int, int]], epochs: int = EPOCHS, batch: int = 32, rate: float = 4e-3) -> Network:
+def train(rows: list[tuple[list[bytes], int, int]], steps: int = STEPS, batch: int = 32, rate: float = 4e-3) -> Network:
     """Fit to ``(chunks, length, label)`` by Adam; the same rows give the same weights."""
     net, r = Network(), np.random.default_rng(11)
     first = {k: np.zeros_like(v) for k, v in net.w.items()}
     second = {k: np.zeros_like(v) for k, v in net.w.items()}
-    step, steps = 0, epochs * -(-len(rows) // batch)
-    for _ in range(epochs):
-        order = r.permutation(len(rows))
-        for at in range(0, len(rows), batch):
-            some, tables = order[at : at + batch], net.tables()
-            total = {k: np.zeros_like(v) for k, v in net.w.items()}
-            for i in some:
-                net.gradient(*rows[i], tables, total)
-            step += 1
-            pace = rate * (1 - 0.9 * step / steps)
-            for k, v in net.w.items():
-                g = total[k] / len(some) + 1e-4 * v
-                first[k] = 0.9 * first[k] + 0.1 * g
-                second[k] = 0.99 * second[k] + 0.01 * g * g
-                v -= pace * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8)
+    order: list[int] = []
+    for step in range(1, steps + 1):
+        if len(order) < batch:
+            order += r.permutation(len(rows)).tolist()
+        some, order, tables = order[:batch], order[batch:], net.tables()
+        total = {k: np.zeros_like(v) for k, v in net.w.items()}
+        for i in some:
+            net.gradient(*rows[i], tables, total)
+        pace = rate * (1 - 0.9 * step / steps)
+        for k, v in net.w.items():
+            g = total[k] / len(some) + DECAY * v
+            first[k] = 0.9 * first[k] + 0.1 * g
+            second[k] = 0.99 * second[k] + 0.01 * g * g
+            v -= pace * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8)
     return net
 
 

@@ -34,7 +34,7 @@ TEMPLATES = {
     "mit-text": "[permission is hereby granted] free of charge to any person obtaining a copy of this software "
     "and associated documentation files the software to deal in the software [without restriction] including "
     "without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software",
-    "mit-notice": "released under the [mit license]",
+    "mit-notice": "released [under the mit license]",
     "apache-2.0": "licensed under the [apache license version 2 0]",
     "apache-2.0-text": "you may [not use this file except in compliance with the license] you may obtain a copy of the license at",
     "gpl-3.0": "this work is licensed under the [gnu general public license version 3]",
