@@ -106,16 +106,22 @@ def _times(matrix: list[int], vector: int) -> int:
     return out
 
 
+_zeros: list[list[int]] = []
+
+
 def _over_zeros(crc: int, size: int) -> int:
-    one_bit = [0xEDB88320] + [1 << k for k in range(31)]  # the reflected polynomial; shifts right
-    step = one_bit
-    for _ in range(3):  # one byte
-        step = [_times(step, c) for c in step]
-    while size:
-        if size & 1:
-            crc = _times(step, crc)
-        step = [_times(step, c) for c in step]
-        size >>= 1
+    """``crc`` carried over ``size`` zero bytes; the maps for powers of two are kept."""
+    if not _zeros:
+        one_bit = [0xEDB88320] + [1 << k for k in range(31)]  # the reflected polynomial; shifts right
+        step = one_bit
+        for _ in range(3):  # one byte
+            step = [_times(step, c) for c in step]
+        for _ in range(63):
+            _zeros.append(step)
+            step = [_times(step, c) for c in step]
+    for k in range(size.bit_length()):
+        if size >> k & 1:
+            crc = _times(_zeros[k], crc)
     return crc
 
 
