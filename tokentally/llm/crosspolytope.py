@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,16 +69,21 @@ def buckets(unit: np.ndarray, tables: int, hashes: int, probes: int) -> np.ndarr
     return out
 
 
+def by_length(column: pa.Array, lengths: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The rows of each length, and their vectors as a matrix scaled to a largest component of 1."""
+    for d in np.unique(lengths):
+        rows = np.flatnonzero(lengths == d)
+        x = column.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).reshape(len(rows), d)
+        yield rows, x / np.abs(x).max(1, keepdims=True)
+
+
 def _hashed(tables: int, hashes: int, probes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             labels, node = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
-            vectors = batch.column(2).to_pylist()
-            dims = np.array([len(v) for v in vectors])
-            for d in np.unique(dims):
-                rows = np.flatnonzero(dims == d)
-                x = np.array([vectors[i] for i in rows], np.float64)
-                x /= np.abs(x).max(1, keepdims=True)
+            lengths = pc.list_value_length(batch.column(2)).to_numpy()
+            for rows, x in by_length(batch.column(2), lengths):
+                d = x.shape[1]
                 where = buckets(x / np.linalg.norm(x, axis=1, keepdims=True), tables, hashes, probes)
                 n = len(rows) * tables * probes
                 yield pa.RecordBatch.from_arrays(
@@ -99,13 +105,8 @@ def _verified(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
-            va, vb = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            dims = np.array([len(v) for v in va])
-            for d in np.unique(dims):
-                rows = np.flatnonzero(dims == d)
-                a, b = (np.array([v[i] for i in rows], np.float64) for v in (va, vb))
-                a /= np.abs(a).max(1, keepdims=True)
-                b /= np.abs(b).max(1, keepdims=True)
+            lengths = pc.list_value_length(batch.column(2)).to_numpy()
+            for (rows, a), (_, b) in zip(by_length(batch.column(2), lengths), by_length(batch.column(3), lengths)):
                 norms = np.linalg.norm(a, axis=1) * np.linalg.norm(b, axis=1)
                 keep[rows] = np.einsum("ij,ij->i", a, b) / norms >= threshold
             links = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"])
