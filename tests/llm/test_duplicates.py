@@ -125,3 +125,18 @@ def test_rotation_keeps_lengths():
     x = np.random.default_rng(1).normal(size=(5, 16))
     y = crosspolytope.hadamard(x)
     assert np.allclose(np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)) and np.allclose(crosspolytope.hadamard(y), x)
+
+
+def test_shared_bound_loses_no_link():
+    """The bound of the intersection is never below it, and rarely above it."""
+    r = np.random.default_rng(3)
+    pool = r.integers(1, 1 << 63, 400, dtype=np.uint64)
+    pool[:40] = (pool[:40] >> np.uint64(16) << np.uint64(16)) + pool[40:80] % np.uint64(1 << 16)  # equal low bits
+    sets = [np.unique(r.choice(pool, n)) for n in r.integers(1, 300, 60)]
+    a, b = sets[:30], sets[30:]
+    low = [[minhash._marks(s, 280, 80)[1] for s in x] for x in (a, b)]
+    sizes = [np.array([len(s) for s in x]) for x in (a, b)]
+    true = np.array([len(np.intersect1d(x, y)) for x, y in zip(a, b)])
+    got = minhash._most_shared(*low, *sizes)
+    assert (got >= true).all()
+    assert (got - true).max() <= 60

@@ -90,38 +90,76 @@ def _signatures(size: int, bands: int, rows: int):
     return run
 
 
-def _named(size: int, bins: int):
+def _marks(shingles: np.ndarray, bins: int, percent: int) -> tuple[bytes, bytes]:
+    """What pairs are tested by first: a long set's signature bytes, a short set's 16-bit values.
+
+    Sets between ``bins`` and the size that a set of ``bins`` members can be linked with have both.
+    """
+    long, short = len(shingles) > bins, percent * len(shingles) <= 100 * bins
+    sketch = signature(shingles, bins).astype(np.uint8).tobytes() if long else b""
+    return sketch, np.unique(shingles.astype(np.uint16)).tobytes() if short else b""
+
+
+def _named(size: int, bins: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t, size) for t in text_bytes(batch.column(0))]
+            marks = [_marks(s, bins, percent) for s in sets]
             columns = [
                 pa.array([set_name(s) for s in sets], pa.binary()),
                 pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([signature(s, bins).astype(np.uint8).tobytes() if len(s) else b"" for s in sets], pa.binary()),
+                pa.array([m[0] for m in marks], pa.binary()),
+                pa.array([m[1] for m in marks], pa.binary()),
                 batch.column(0),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "sketch", "text"])
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "sketch", "low", "text"])
 
     return run
 
 
+def _most_shared(low_a: list[bytes], low_b: list[bytes], na: np.ndarray, nb: np.ndarray) -> np.ndarray:
+    """For each pair, a bound that the size of its intersection never exceeds.
+
+    The 16-bit values that both sets hold, and as many more as values of the one set
+    stand for two of its members.
+    """
+    rows = np.arange(len(na), dtype=np.int64)
+    keys, spare = [], []
+    for low, n in ((low_a, na), (low_b, nb)):
+        held = np.array([len(v) // 2 for v in low], np.int64)
+        keys.append((np.repeat(rows, held) << 16) | np.frombuffer(b"".join(low), np.uint16))
+        spare.append(n - held)
+    merged = np.sort(np.concatenate(keys), kind="stable")
+    both = merged[1:][merged[1:] == merged[:-1]] >> 16
+    return np.bincount(both, minlength=len(na)) + np.minimum(*spare)
+
+
 def _likely(percent: int, bins: int):
-    """Keeps pairs unless the lower bytes of their signatures speak clearly against a link.
+    """Keeps pairs of sets of sizes that allow a link unless a small test rules the link out.
 
-    At the threshold each byte agrees with that probability at least; a pair goes only
-    if five standard deviations are missing (less than one link in a million), counted
-    for as many independent bins as the smaller set has members.
+    Short sets go by a bound of their intersection, so no link is lost. Long ones go by
+    the lower bytes of their signatures: at the threshold each byte agrees with that
+    probability at least, and a pair goes only if five standard deviations are missing
+    (less than one link in a million).
     """
     share = percent / 100
+    least = share - 5 * np.sqrt(share * (1 - share) / bins)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, bins) for c in (4, 5))
-                free = np.minimum(np.minimum(*(batch.column(c).to_numpy() for c in (6, 7))), bins)
-                least = share - 5 * np.sqrt(share * (1 - share) / free)
-                keep = pa.array((a == b).mean(1) >= least)
-                yield pa.RecordBatch.from_arrays(batch.columns[:4], names=["a", "b", "ca", "cb"]).filter(keep)
+            sketch_a, sketch_b, low_a, low_b = (batch.column(c).to_pylist() for c in range(4, 8))
+            na, nb = (batch.column(c).to_numpy() for c in (8, 9))
+            keep = np.zeros(batch.num_rows, bool)
+            short = np.minimum(na, nb) <= bins
+            rows = np.flatnonzero(short)
+            if len(rows):
+                shared = _most_shared([low_a[i] for i in rows], [low_b[i] for i in rows], na[rows], nb[rows])
+                keep[rows] = 100 * shared >= percent * (na[rows] + nb[rows] - shared)
+            rows = np.flatnonzero(~short)
+            if len(rows):
+                a, b = (np.frombuffer(b"".join([s[i] for i in rows]), np.uint8).reshape(-1, bins) for s in (sketch_a, sketch_b))
+                keep[rows] = (a == b).mean(1) >= least
+            yield pa.RecordBatch.from_arrays(batch.columns[:4], names=["a", "b", "ca", "cb"]).filter(pa.array(keep))
 
     return run
 
@@ -186,7 +224,7 @@ def near_duplicates(
     shared = settle(placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"), "shared")
     members = settle(placed.join(shared, "bucket").select("bucket", "node"), "members")
     needed = members.select("node").distinct().join(classes.select("node", "doc_id"), "node")
-    texts = settle(_needed_texts(docs, settle(needed, "needed"), shingle_words, bands * rows), "texts")
+    texts = settle(_needed_texts(docs, settle(needed, "needed"), shingle_words, bands * rows, percent), "texts")
     comps = _components(members, texts, shingle_words, percent, bands * rows)
     reach = classes.select("node", F.col("doc_id").alias("least")).join(comps, "node", "left")
     reach = settle(reach.select("node", "least", F.coalesce("comp", "node").alias("comp")), "reach")
@@ -197,13 +235,13 @@ def near_duplicates(
     return linked.union(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _needed_texts(docs: DataFrame, needed: DataFrame, size: int, bins: int) -> DataFrame:
-    """``[node, n, sketch, text]``: one text for each class that shares a bucket with another."""
+def _needed_texts(docs: DataFrame, needed: DataFrame, size: int, bins: int, percent: int) -> DataFrame:
+    """``[node, n, sketch, low, text]``: one text for each class that shares a bucket with another."""
     ids = needed.where("doc_id is not null").select("doc_id").distinct()
     texts = docs.join(ids, "doc_id", "left_semi").select("text")
     if not needed.where("doc_id is null").isEmpty():  # classes of rows without an id
         texts = texts.union(docs.where("doc_id is null").select("text"))
-    named = texts.mapInArrow(_named(size, bins), "node binary, n bigint, sketch binary, text string")
+    named = texts.mapInArrow(_named(size, bins, percent), "node binary, n bigint, sketch binary, low binary, text string")
     return named.join(needed.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
@@ -213,8 +251,10 @@ def _components(members: DataFrame, texts: DataFrame, size: int, percent: int, b
     members = members.withColumn("comp", F.col("node")).withColumn("done", F.lit(False))
     ta = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     tb = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    sa = texts.select(F.col("node").alias("a"), F.col("sketch").alias("sketch_a"), F.col("n").alias("na"))
-    sb = texts.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b"), F.col("n").alias("nb"))
+    sa, sb = (
+        texts.select(F.col("node").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("sketch", "low", "n"))) for x in "ab"
+    )
+    possible = F.greatest("n_a", "n_b") * percent <= F.least("n_a", "n_b") * 100
     schedule = [(1, []), (4, [])]  # centres of each bucket, before those of each component in it
     while True:
         wanted, per = schedule.pop(0) if schedule else (int(4 * wanted), ["comp"])
@@ -234,7 +274,8 @@ def _components(members: DataFrame, texts: DataFrame, size: int, percent: int, b
         pairs = settle(
             pairs.join(sb, "b")
             .join(sa, "a")
-            .select("a", "b", "ca", "cb", "sketch_a", "sketch_b", "na", "nb")
+            .where(possible)
+            .select("a", "b", "ca", "cb", "sketch_a", "sketch_b", "low_a", "low_b", "n_a", "n_b")
             .mapInArrow(_likely(percent, bins), "a binary, b binary, ca binary, cb binary"),
             "likely",
         )
