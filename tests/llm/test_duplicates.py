@@ -140,3 +140,30 @@ def test_shared_bound_loses_no_link():
     got = minhash._most_shared(*low, *sizes)
     assert (got >= true).all()
     assert (got - true).max() <= 60
+
+
+@pytest.mark.parametrize("bins", [8, 40])
+def test_blocks_keep_the_pairs_that_pairs_alone_keep(bins):
+    """Short sets, long ones and both in a block; pairs of one component are left out."""
+    import pyarrow as pa
+
+    draw = np.random.default_rng(bins)
+    base = draw.integers(1, 1 << 63, 60, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base[: 10 + 5 * (i % 9)], draw.integers(1, 1 << 63, i % 7, dtype=np.uint64)])) for i in range(40)]
+    marks = [minhash._marks(s, bins, 80) for s in sets]
+    rows = [
+        {"node": b"n%d" % i, "comp": b"c%d" % (i % 11), "n": len(s), "sketch": m[0], "low": m[1]}
+        for i, (s, m) in enumerate(zip(sets, marks))
+    ]
+    member = pa.struct([("node", pa.binary()), ("comp", pa.binary()), ("n", pa.int64()), ("sketch", pa.binary()), ("low", pa.binary())])
+    blocks = [pa.array([rows[:3], rows[:15]], pa.list_(member)), pa.array([rows[30:], rows[15:]], pa.list_(member))]
+    batch = pa.RecordBatch.from_arrays(blocks, names=["centres", "members"])
+    got = [tuple(r.values()) for out in minhash._likely_in_blocks(80, bins)([batch]) for r in out.to_pylist()]
+    pairs = [(x, y) for a, b in ((rows[:3], rows[30:]), (rows[:15], rows[15:])) for x in a for y in b]
+    pairs = [(x, y) for x, y in pairs if x["comp"] != y["comp"] and 80 * max(x["n"], y["n"]) <= 100 * min(x["n"], y["n"])]
+    columns = [pa.array([p[k][c] for p in pairs]) for c, k in (
+        ("node", 0), ("node", 1), ("comp", 0), ("comp", 1), ("sketch", 0), ("sketch", 1), ("low", 0), ("low", 1), ("n", 0), ("n", 1)
+    )]
+    alone = pa.RecordBatch.from_arrays(columns, names=[str(i) for i in range(10)])
+    want = [tuple(r.values()) for out in minhash._likely(80, bins)([alone]) for r in out.to_pylist()]
+    assert want and sorted(got) == sorted(want)

@@ -12,7 +12,9 @@ buckets whose members still lie in different components get further centres: fou
 then one for each component in the bucket, then four for each, sixteen and so on. Only pairs across components are
 compared, until every component but one has had all its members as centres or the
 bucket is one component. No pair that shares a
-bucket stays untested unless its two classes are connected already.
+bucket stays untested unless its two classes are connected already. From one centre
+for each component on, members meet centres in blocks of bounded size, and only the
+pairs of a block that pass a first test become rows.
 """
 
 from __future__ import annotations
@@ -32,6 +34,9 @@ from tokentally.llm.hashing import mix, shingle_set
 #: A link at the threshold 0.8 shares a band with probability 1 - (1 - 0.8**7)**40 = 0.99992.
 BANDS, ROWS = 40, 7
 
+#: Members and centres of one bucket that meet in one row, about. Each takes 1 KB at most.
+MEMBERS_HELD, CENTRES_HELD = 64, 32
+
 #: Bytes of text whose sets a task keeps while it confirms links.
 SETS_HELD = 8 << 20
 
@@ -134,16 +139,23 @@ def _most_shared(low_a: list[bytes], low_b: list[bytes], na: np.ndarray, nb: np.
     return np.bincount(both, minlength=len(na)) + np.minimum(*spare)
 
 
+def _least_agreeing(percent: int, bins: int) -> float:
+    """Share of signature bytes that agree in a link of two long sets, less five standard deviations.
+
+    At the threshold each byte agrees with that probability at least; less than one
+    link in a million falls short.
+    """
+    share = percent / 100
+    return share - 5 * np.sqrt(share * (1 - share) / bins)
+
+
 def _likely(percent: int, bins: int):
     """Keeps pairs of sets of sizes that allow a link unless a small test rules the link out.
 
     Short sets go by a bound of their intersection, so no link is lost. Long ones go by
-    the lower bytes of their signatures: at the threshold each byte agrees with that
-    probability at least, and a pair goes only if five standard deviations are missing
-    (less than one link in a million).
+    the lower bytes of their signatures.
     """
-    share = percent / 100
-    least = share - 5 * np.sqrt(share * (1 - share) / bins)
+    least = _least_agreeing(percent, bins)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -164,6 +176,58 @@ def _likely(percent: int, bins: int):
     return run
 
 
+def _shared_low(a: pa.StructArray, b: pa.StructArray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
+    """``_most_shared`` of every member of ``a`` with every one of ``b``, as a matrix."""
+    lows = a.field("low").to_pylist() + b.field("low").to_pylist()
+    held = np.array([len(v) // 2 for v in lows], np.int64)
+    values, code = np.unique(np.frombuffer(b"".join(lows), np.uint16), return_inverse=True)
+    has = np.zeros((len(lows), len(values)), np.float32)
+    has[np.repeat(np.arange(len(lows)), held), code] = 1
+    spare = np.concatenate([na, nb]) - held
+    return (has[: len(a)] @ has[len(a) :].T).astype(np.int64) + np.minimum.outer(spare[: len(a)], spare[len(a) :])
+
+
+def _likely_in_blocks(percent: int, bins: int):
+    """The pairs that ``_likely`` would keep of each centre of a block with each member of another component."""
+    least = _least_agreeing(percent, bins)
+
+    def sketches(block: pa.StructArray) -> np.ndarray:
+        held = [s or bytes(bins) for s in block.field("sketch").to_pylist()]
+        return np.frombuffer(b"".join(held), np.uint8).reshape(-1, bins)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                a, b = (batch.column(c).slice(i, 1).flatten() for c in (0, 1))
+                na, nb = (x.field("n").to_numpy() for x in (a, b))
+                comps = pa.concat_arrays([a.field("comp"), b.field("comp")]).dictionary_encode().indices.to_numpy()
+                smaller, larger = np.minimum.outer(na, nb), np.maximum.outer(na, nb)
+                keep = np.not_equal.outer(comps[: len(a)], comps[len(a) :]) & (percent * larger <= 100 * smaller)
+                short = smaller <= bins
+                if (keep & short).any():
+                    shared = _shared_low(a, b, na, nb)
+                    keep &= ~short | (100 * shared >= percent * (smaller + larger - shared))
+                if (keep & ~short).any():
+                    sa, sb = sketches(a), sketches(b)
+                    agree = np.stack([(row == sb).mean(1) for row in sa])
+                    keep &= short | (agree >= least)
+                x, y = (pa.array(k) for k in np.nonzero(keep))
+                if len(x):
+                    columns = [a.field("node").take(x), b.field("node").take(y), a.field("comp").take(x), b.field("comp").take(y)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "ca", "cb"])
+
+    return run
+
+
+def _blocks(rows: DataFrame, marks: DataFrame, held: int, name: str) -> DataFrame:
+    """``[bucket, name]``: the ``rows [bucket, node, comp]`` of each bucket with their marks, dealt into arrays of about ``held``."""
+    sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("in_bucket"))
+    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("in_bucket") / held)).alias("part")
+    block = F.collect_list(F.struct("node", "comp", "n", "sketch", "low")).alias(name)
+    dealt = rows.join(sizes, "bucket").select("bucket", "node", "comp", part).join(marks, "node")
+    return dealt.groupBy("bucket", "part").agg(block).drop("part")
+
+
 def _links(size: int, percent: int):
     """Components of the pairs of texts whose full sets are similar enough."""
 
@@ -254,6 +318,7 @@ def _components(members: DataFrame, texts: DataFrame, size: int, percent: int, b
     sa, sb = (
         texts.select(F.col("node").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("sketch", "low", "n"))) for x in "ab"
     )
+    marks = texts.select("node", "n", "sketch", "low")
     possible = F.greatest("n_a", "n_b") * percent <= F.least("n_a", "n_b") * 100
     schedule = [(1, []), (4, [])]  # centres of each bucket, before those of each component in it
     while True:
@@ -263,22 +328,27 @@ def _components(members: DataFrame, texts: DataFrame, size: int, percent: int, b
         centres = settle(
             members.where("not done").groupBy("bucket", *per, part).agg(least).select("bucket", "c.*"), "centres"
         )
-        star = centres.select("bucket", F.col("node").alias("a"), F.col("comp").alias("ca"))
-        pairs = settle(
-            members.join(star, "bucket")
-            .where("comp <> ca")
-            .select("a", F.col("node").alias("b"), "ca", F.col("comp").alias("cb"))
-            .distinct(),
-            "pairs",
-        )
-        pairs = settle(
-            pairs.join(sb, "b")
-            .join(sa, "a")
-            .where(possible)
-            .select("a", "b", "ca", "cb", "sketch_a", "sketch_b", "low_a", "low_b", "n_a", "n_b")
-            .mapInArrow(_likely(percent, bins), "a binary, b binary, ca binary, cb binary"),
-            "likely",
-        )
+        found = "a binary, b binary, ca binary, cb binary"
+        if per:
+            held = _blocks(members, marks, MEMBERS_HELD, "members").join(_blocks(centres, marks, CENTRES_HELD, "centres"), "bucket")
+            pairs = held.select("centres", "members").mapInArrow(_likely_in_blocks(percent, bins), found).distinct()
+        else:
+            star = centres.select("bucket", F.col("node").alias("a"), F.col("comp").alias("ca"))
+            pairs = settle(
+                members.join(star, "bucket")
+                .where("comp <> ca")
+                .select("a", F.col("node").alias("b"), "ca", F.col("comp").alias("cb"))
+                .distinct(),
+                "pairs",
+            )
+            pairs = (
+                pairs.join(sb, "b")
+                .join(sa, "a")
+                .where(possible)
+                .select("a", "b", "ca", "cb", "sketch_a", "sketch_b", "low_a", "low_b", "n_a", "n_b")
+                .mapInArrow(_likely(percent, bins), found)
+            )
+        pairs = settle(pairs, "likely")
         links = settle(
             pairs.join(tb, "b")
             .join(ta, "a")
