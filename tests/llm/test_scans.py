@@ -133,6 +133,33 @@ def test_shared_lines_are_removed(spark, nothing):
     assert linefreq.line_quality(nothing).count() == 0
 
 
+def own_line(i, j):
+    """A line of letters that no other ``(i, j)`` has."""
+    return " ".join("own" + "".join("abcdefghij"[int(c)] for c in f"{i:03}{j}{k:02}") for k in range(12))
+
+
+def test_blocks_of_several_lines_are_removed(spark):
+    """Every line of a banner counts, on both sides of the limit and at any place of the text."""
+    banner = [" ".join(f"{'abcdefghij'[j]}menu{w}" for w in "pqrstuvwxyz") for j in range(8)]
+    rows = []
+    for i in range(12):
+        rows += [(i, "\n".join([own_line(i, 0), *banner]), "end"), (100 + i, "\n".join([*banner, own_line(i, 1)]), "start")]
+        rows += [(200 + i, "\n".join([own_line(i, 2), *banner, own_line(i, 3)]), "middle")]
+        rows += [(300 + i, "\n".join([own_line(i, 4), *banner[:4], "", own_line(i, 5), *banner[4:]]), None)]
+        # only shared lines, in ever other order
+        rows += [(400 + i, "\n".join(banner[i % 8 :] + banner[: i % 8] + banner[: i // 8 + 1]), "lists")]
+    rows += [(500 + i, "\n".join([own_line(i, 6), *banner]), "few") for i in range(10)]
+    rows += [(600 + i, "\n".join([own_line(i % 3, 7), *banner]) + f"\nnumber {i}", "copies") for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = {r.doc_id: r for r in linefreq.line_quality(df, max_documents=10, max_settings=5, least_left_percent=50).collect()}
+    words = sum(len(x.split()) for x in banner)
+    for i in range(12):
+        assert [got[k + i].n_removed_words for k in (0, 100, 200, 300)] == [words] * 4, i
+        assert got[400 + i].n_removed_words == got[400 + i].n_words
+        assert not any(got[k + i].kept for k in (0, 100, 200, 300, 400))
+    assert all(r.kept and r.n_removed_words == 0 for i, r in got.items() if i >= 500)
+
+
 def test_secrets(spark, edge, nothing):
     value = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
     got = secret_scan.scan_secrets(edge).where("secret").collect()

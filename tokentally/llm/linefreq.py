@@ -3,10 +3,11 @@
 Lines are normalised (lower case, digit runs to one 0, white space to single
 spaces) and hashed. A line is removed when it stands in more distinct documents of a
 host than ``max_documents`` and in more than ``max_settings`` distinct settings there. A
-setting is a line with the lines beside it: page furniture stands beside ever other
-lines, while a line of one text that is copied with few changes keeps its neighbours,
-and copies are not this operator's work. Documents of one text count once. A document
-is rejected when removal leaves too small a share of its words.
+setting is the maximal run of shared lines (those above ``max_documents``) that a line
+stands in, with the lines beside that run: a block of page furniture, however long, stands
+beside ever other lines, while texts that differ in digits, case or spacing only have one
+setting, and such copies are not this operator's work. Documents of one text count once. A
+document is rejected when removal leaves too small a share of its words.
 
 Before that, base rules on each text alone: too few words, or too many words in
 repeated windows of eight.
@@ -14,7 +15,7 @@ repeated windows of eight.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokentally.llm.common import free_name, settle
@@ -74,19 +75,40 @@ def _measured(docs: DataFrame, host: str) -> DataFrame:
     )
 
 
-def _frequent(rows: DataFrame, max_documents: int, max_settings: int) -> DataFrame:
-    """``[host, h]``: the lines above both limits. Every count is pre-aggregated in parts."""
+def _shared(rows: DataFrame, max_documents: int) -> DataFrame:
+    """Places of lines that more than ``max_documents`` distinct documents of a host hold.
+
+    ``[row, at, none, content, pos, h, n, before, after]``: ``pos`` counts the lines with
+    words from 0, ``before`` and ``after`` are the lines beside it (0 at the text's ends).
+    """
+    lines = rows.select("host", "content", F.explode(F.expr("transform(lines, l -> l.h)")).alias("h"))
+    per_document = lines.groupBy("host", "h", "content").agg(F.lit(1).alias("one"))  # every count is pre-aggregated in parts
+    counted = per_document.groupBy("host", "h").agg(F.count(F.lit(1)).alias("documents")).where(F.col("documents") > max_documents)
+    at, none = F.coalesce("host", F.lit("")).alias("at"), F.isnull("host").alias("none")
+    marks = settle(counted.select(at, none, "h"), "shared")
     beside = (
-        "transform(lines, (l, i) -> named_struct('h', l.h, 'beside', "
-        "xxhash64(if(i > 0, lines[i - 1].h, 0L), if(i < size(lines) - 1, lines[i + 1].h, 0L))))"
-    )
-    lines = rows.select("host", "content", F.explode(F.expr(beside)).alias("l")).select("host", "content", "l.h", "l.beside")
-    per_document = lines.groupBy("host", "h", "content").agg(F.min("beside").alias("beside"))
-    per_setting = per_document.groupBy("host", "h", "beside").agg(F.count(F.lit(1)).alias("documents"))
-    counted = per_setting.groupBy("host", "h").agg(
-        F.sum("documents").alias("documents"), F.count(F.lit(1)).alias("settings")
+        "transform(lines, (l, i) -> named_struct('pos', i, 'h', l.h, 'n', l.n, 'before', if(i > 0, lines[i - 1].h, 0L), "
+        "'after', if(i < size(lines) - 1, lines[i + 1].h, 0L)))"
     )
-    return counted.where((F.col("documents") > max_documents) & (F.col("settings") > max_settings)).select("host", "h")
+    places = rows.select("row", at, none, "content", F.explode(F.expr(beside)).alias("l"))
+    places = places.select("row", "at", "none", "content", "l.pos", "l.h", "l.n", "l.before", "l.after")
+    return settle(places.join(marks, ["at", "none", "h"]), "places")
+
+
+def _removed(rows: DataFrame, max_documents: int, max_settings: int) -> DataFrame:
+    """``[row, at, none, content, pos, n]``: the places of the lines above both limits."""
+    places = _shared(rows, max_documents)
+    text = ["at", "none", "content"]
+    once = places.groupBy(*text, "pos").agg(*[F.min(c).alias(c) for c in ("h", "before", "after")])  # copies have equal lines
+    run = F.col("pos") - F.row_number().over(Window.partitionBy(*text).orderBy("pos"))
+    runs = once.withColumn("run", run).groupBy(*text, "run")
+    runs = runs.agg(F.array_sort(F.collect_list(F.struct("pos", "h", "before", "after"))).alias("ls"))
+    setting = F.expr("xxhash64(transform(ls, l -> l.h), ls[0].before, element_at(ls, -1).after)")
+    lines = runs.select("at", "none", setting.alias("setting"), F.explode(F.expr("array_distinct(transform(ls, l -> l.h))")).alias("h"))
+    per_setting = lines.groupBy("at", "none", "h", "setting").agg(F.lit(1).alias("one"))
+    counted = per_setting.groupBy("at", "none", "h").agg(F.count(F.lit(1)).alias("settings"))
+    frequent = settle(counted.where(F.col("settings") > max_settings).select("at", "none", "h"), "frequent")
+    return settle(places.join(frequent, ["at", "none", "h"]).select("row", *text, "pos", "n"), "removed")
 
 
 def line_quality(
@@ -108,12 +130,8 @@ def line_quality(
     empty result.
     """
     rows = settle(_measured(docs, host).withColumn("row", F.monotonically_increasing_id()), "rows")
-    frequent = settle(_frequent(rows, max_documents, max_settings), "frequent")
-    lines = rows.select("row", F.coalesce("host", F.lit("")).alias("at"), F.isnull("host").alias("none"), F.explode("lines").alias("l"))
-    lines = lines.select("row", "at", "none", "l.h", "l.n")
-    marks = frequent.select(F.coalesce("host", F.lit("")).alias("at"), F.isnull("host").alias("none"), "h")
-    removed = settle(lines.join(marks, ["at", "none", "h"]).groupBy("row").agg(F.sum("n").alias("n_removed_words")), "removed")
-    out = rows.join(removed, "row", "left").withColumn("n_removed_words", F.coalesce("n_removed_words", F.lit(0).cast("bigint")))
+    words = settle(_removed(rows, max_documents, max_settings).groupBy("row").agg(F.sum("n").alias("n_removed_words")), "removed_words")
+    out = rows.join(words, "row", "left").withColumn("n_removed_words", F.coalesce("n_removed_words", F.lit(0).cast("bigint")))
     base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     enough = 100 * (F.col("n_words") - F.col("n_removed_words")) >= least_left_percent * F.col("n_words")
     return out.withColumn("base_failed", base_failed).select(
