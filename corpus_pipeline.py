@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tokentally.llm.bytecnn import keep_good
 from tokentally.llm.catalog import WORD_BPE
 from tokentally.llm.common import settle, table
-from tokentally.llm.linefreq import keep_quality
+from tokentally.llm.linefreq import clean_quality
 from tokentally.llm.minhash import keep_one
 from tokentally.llm.packing import pack_documents
 from tokentally.llm.secret_scan import hide_secrets
@@ -18,7 +18,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return keep_quality(docs)
+    return clean_quality(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

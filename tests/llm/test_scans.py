@@ -160,6 +160,21 @@ def test_blocks_of_several_lines_are_removed(spark):
     assert all(r.kept and r.n_removed_words == 0 for i, r in got.items() if i >= 500)
 
 
+def test_frequent_lines_leave_the_text(spark, edge):
+    """Blank lines, order, other columns and texts without such a line stay; the pipeline's stage does it too."""
+    banner = [" ".join(f"{'abc'[j]}menu{w}" for w in "pqrst") for j in range(3)]
+    own = [[own_line(i, j) for j in range(3)] for i in range(120)]
+    texts = [f"\n{banner[0]} \n{a}\n\n{banner[1].upper()}\n{banner[2]}\n{b}\n{banner[0]}\r\n\n{c}\n" for a, b, c in own]
+    want = [f"\n{a}\n\n{b}\n\n{c}\n" for a, b, c in own]
+    rows = [(i, x, h, len(x)) for h in ("host", None) for i, x in enumerate(texts)]
+    rows += [(1000, texts[0], "other", len(texts[0])), (1001, texts[1], "host", len(texts[1])), (1002, "few words", "host", 9)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string, n_chars int")
+    for clean in (linefreq.clean_quality, lambda d: corpus_pipeline.quality_rules(spark, d, "")):
+        got = Counter(tuple(r) for r in clean(df).collect())
+        expected = Counter((i, x, h, len(x)) for h in ("host", None) for i, x in enumerate(want))
+        assert got == expected + Counter([(1000, texts[0], "other", len(texts[0])), (1001, want[1], "host", len(want[1]))])
+
+
 def test_secrets(spark, edge, nothing):
     value = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
     got = secret_scan.scan_secrets(edge).where("secret").collect()

@@ -111,6 +111,26 @@ def _removed(rows: DataFrame, max_documents: int, max_settings: int) -> DataFram
     return settle(places.join(frequent, ["at", "none", "h"]).select("row", *text, "pos", "n"), "removed")
 
 
+def _verdicts(rows: DataFrame, removed: DataFrame, least_left_percent: int) -> DataFrame:
+    words = settle(removed.groupBy("row").agg(F.sum("n").alias("n_removed_words")), "removed_words")
+    out = rows.join(words, "row", "left").withColumn("n_removed_words", F.coalesce("n_removed_words", F.lit(0).cast("bigint")))
+    base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
+    enough = 100 * (F.col("n_words") - F.col("n_removed_words")) >= least_left_percent * F.col("n_words")
+    return out.withColumn("base_failed", base_failed).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "n_removed_words",
+        (~F.col("base_failed") & enough).alias("kept"),
+        "host",
+        "content",
+    )
+
+
 def line_quality(
     docs: DataFrame,
     *,
@@ -130,23 +150,7 @@ def line_quality(
     empty result.
     """
     rows = settle(_measured(docs, host).withColumn("row", F.monotonically_increasing_id()), "rows")
-    words = settle(_removed(rows, max_documents, max_settings).groupBy("row").agg(F.sum("n").alias("n_removed_words")), "removed_words")
-    out = rows.join(words, "row", "left").withColumn("n_removed_words", F.coalesce("n_removed_words", F.lit(0).cast("bigint")))
-    base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
-    enough = 100 * (F.col("n_words") - F.col("n_removed_words")) >= least_left_percent * F.col("n_words")
-    return out.withColumn("base_failed", base_failed).select(
-        "doc_id",
-        "n_words",
-        "word_chars",
-        "n_symbols",
-        "n_dup_lines",
-        "n_repeat_words",
-        "base_failed",
-        "n_removed_words",
-        (~F.col("base_failed") & enough).alias("kept"),
-        "host",
-        "content",
-    )
+    return _verdicts(rows, _removed(rows, max_documents, max_settings), least_left_percent)
 
 
 def keep_quality(docs: DataFrame, **limits) -> DataFrame:
@@ -163,3 +167,44 @@ def keep_quality(docs: DataFrame, **limits) -> DataFrame:
     keyed = docs.withColumn(a, F.coalesce(F.col(host).cast("string"), F.lit("\0")))
     keyed = keyed.withColumn(b, F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
     return keyed.join(bad, [a, b], "left_anti").select(docs.columns)
+
+
+def clean_quality(
+    docs: DataFrame,
+    *,
+    host: str = "source",
+    max_documents: int = MAX_DOCUMENTS,
+    max_settings: int = MAX_SETTINGS,
+    least_left_percent: int = LEAST_LEFT_PERCENT,
+    size: str | None = "n_chars",
+) -> DataFrame:
+    """The rows of ``docs`` that ``line_quality`` keeps, their texts without the lines above the limits.
+
+    All other lines, blank ones too, stay as they are and in order, and so do all columns;
+    texts without such a line are untouched. ``size``, where such a column exists, is set to
+    the new number of characters of changed texts. Rows are matched by host and content.
+    """
+    a, b, gone, cut = (free_name(docs.columns, n) for n in ("at_host", "content_md5", "rejected", "cut_lines"))
+    rows = settle(_measured(docs, host).withColumn("row", F.monotonically_increasing_id()), "rows")
+    removed = _removed(rows, max_documents, max_settings)
+    bad = _verdicts(rows, removed, least_left_percent).where(~F.col("kept"))
+    bad = bad.select(F.coalesce("host", F.lit("\0")).alias(a), F.col("content").alias(b), F.lit(True).alias(gone)).distinct()
+    cuts = removed.groupBy(F.when(F.col("none"), "\0").otherwise(F.col("at")).alias(a), F.col("content").alias(b))
+    marks = settle(bad.join(cuts.agg(F.array_sort(F.collect_set("pos")).alias(cut)), [a, b], "full"), "marks")
+    keyed = docs.withColumn(a, F.coalesce(F.col(host).cast("string"), F.lit("\0")))
+    keyed = keyed.withColumn(b, F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
+    joined = keyed.join(marks, [a, b], "left").where(F.isnull(gone))
+    changed = F.col(cut).isNotNull()
+    every, worded, at = (free_name(docs.columns, n) for n in ("every_line", "worded_lines", "line_places"))
+    blank = r"[^ \t\n\x0B\f\r]"
+    out = joined.withColumn(every, F.when(changed, F.split("text", "\n", -1)))
+    # places among the lines with words become places among all lines; what stays are the slices between them
+    out = out.withColumn(worded, F.expr(f"filter(sequence(0, size({every}) - 1), i -> {every}[i] rlike r'{blank}')"))
+    out = out.withColumn(at, F.expr(f"if(size({worded}) > 0, transform({cut}, c -> {worded}[c]), null)"))
+    start, end = f"coalesce(get({at}, k - 1) + 1, 0)", f"coalesce(get({at}, k), size({every}))"
+    slices = f"transform(sequence(0, size({at})), k -> slice({every}, {start} + 1, {end} - {start}))"
+    stay = F.array_join(F.flatten(F.expr(slices)), "\n")
+    out = out.withColumn("text", F.when(changed, stay).otherwise(F.col("text")))
+    if size is not None and size in docs.columns:
+        out = out.withColumn(size, F.when(changed, F.length("text")).otherwise(F.col(size)).cast(docs.schema[size].dataType))
+    return out.select(docs.columns)
