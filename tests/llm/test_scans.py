@@ -99,6 +99,16 @@ def test_licence_templates(spark, nothing):
     assert licenses.scan_licenses(nothing).count() == 0
 
 
+def test_all_licences_of_one_text(spark):
+    """A notice file with every template gives every label, whatever else the corpus counts."""
+    passages = [re.sub(r"[\[\]]", "", t) for t in licenses.TEMPLATES.values()]
+    others = ["cc by nc sa 4 0 under licensed"] * 50
+    df = spark.createDataFrame(list(enumerate(["\n".join(passages)] + others)), "doc_id bigint, text string")
+    got = {r.doc_id: r.labels for r in licenses.scan_licenses(df).collect()}
+    assert set(got[0].split(",")) == set(licenses.TEMPLATES) | set(licenses.PHRASES.values())
+    assert not any(got[i] for i in range(1, 51))
+
+
 def plain_counts(t):
     w = WORD.findall(t)
     seen = Counter(tuple(w[i : i + 8]) for i in range(len(w) - 7))

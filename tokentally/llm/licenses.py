@@ -1,12 +1,11 @@
 """License scans: a positional index of the templates' rare words.
 
-The corpus says how many documents hold each template word; the fewest-held words of a
-template (highest inverse document frequency) are its index words, with postings
-``(template, position)``. A file's index words are looked up, rarest first; each
-occurrence votes for the place where the template would start, and the postings of
-different words meet in one start. At such a start the mandatory key phrases must stand
-word for word; the share of template words in place is the score. A template that is
-one phrase is looked up by its rarest word at every occurrence, so all its places are found.
+The corpus says how many documents hold each template word. A template's key words are
+those of its mandatory key phrases, with their positions; the one held by the fewest
+documents (highest inverse document frequency) is looked up at every occurrence in a file,
+and each occurrence is a place where the template would start. There the other key words
+must stand word for word, rarest first; the share of template words in place is the score.
+No template's search hangs on another's or on the file's other words, so all places are found.
 """
 
 from __future__ import annotations
@@ -23,8 +22,8 @@ from pyspark.sql import functions as F
 from tokentally.llm.common import ship_code, text_bytes
 from tokentally.llm.hashing import word_hashes
 
-#: Index words of a template; index words looked up in a file; least share of words in place.
-INDEX_WORDS, LOOKED_UP, LEAST_SCORE = 4, 12, 0.6
+#: Least share of words in place.
+LEAST_SCORE = 0.6
 
 # Phrases whose every place is found, with their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -78,47 +77,32 @@ def templates(phrases: dict[str, str] = PHRASES, passages: dict[str, str] = TEMP
 
 
 class Index:
-    """Postings of the rare words, from the documents that hold each word."""
+    """The places of the templates' key words, rarest first, from the documents that hold each word."""
 
     def __init__(self, found: list[Template], held: dict[int, int]):
-        self.templates, self.postings = found, defaultdict(list)
-        for t, template in enumerate(found):
-            rare = sorted(dict.fromkeys(template.hashes.tolist()), key=lambda h: (held.get(h, 0), h))
-            for h in rare[: 1 if template.base else INDEX_WORDS]:
-                self.postings[h] += [(t, p) for p in np.flatnonzero(template.hashes == np.uint64(h)).tolist()]
-        order = sorted(self.postings, key=lambda h: (held.get(h, 0), h))
-        self.rank = {h: r for r, h in enumerate(order)}
-        self.always = {h for h, posts in self.postings.items() if any(found[t].base for t, _ in posts)}
-        self.known = np.sort(np.array(order, np.uint64))
+        self.postings = defaultdict(list)
+        for template in found:
+            keyed = [(int(template.hashes[p]), p) for a, b in template.keys for p in range(a, b)]
+            places = [p for _, p in sorted(keyed, key=lambda x: (held.get(x[0], 0), *x))]
+            self.postings[int(template.hashes[places[0]])].append((template, places))
+        self.known = np.sort(np.array(list(self.postings), np.uint64))
 
     def scan(self, h: np.ndarray) -> list[tuple[Template, int, float]]:
         """``(template, first word, score)`` of every accepted place in a file's word hashes."""
         at = np.searchsorted(self.known, h)
         at[at == len(self.known)] = 0
         hits = np.flatnonzero(self.known[at] == h)
-        if not len(hits):
-            return []
-        places = defaultdict(list)
-        for i in hits.tolist():
-            places[int(h[i])].append(i)
-        rare = sorted(places, key=self.rank.__getitem__)
-        looked = rare[:LOOKED_UP] + [w for w in rare[LOOKED_UP:] if w in self.always]
-        votes: dict[tuple[int, int], set[int]] = defaultdict(set)
-        present: dict[int, set[int]] = defaultdict(set)
-        for w in looked:
-            for t, p in self.postings[w]:
-                present[t].add(w)
-                for i in places[w]:
-                    if i >= p:
-                        votes[t, i - p].add(w)
         out = []
-        for (t, start), words in votes.items():
-            template = self.templates[t]
-            if len(words) < min(2, len(present[t])) or start + len(template.hashes) > len(h):
-                continue
-            same = h[start : start + len(template.hashes)] == template.hashes
-            if all(same[a:b].all() for a, b in template.keys) and same.mean() >= LEAST_SCORE:
-                out.append((template, start, float(same.mean())))
+        for word in np.unique(at[hits]).tolist():
+            for template, places in self.postings[int(self.known[word])]:
+                starts = hits[at[hits] == word] - places[0]
+                starts = starts[(starts >= 0) & (starts + len(template.hashes) <= len(h))]
+                for p in places[1:]:
+                    starts = starts[h[starts + p] == template.hashes[p]]
+                for start in starts.tolist():
+                    share = float((h[start : start + len(template.hashes)] == template.hashes).mean())
+                    if share >= LEAST_SCORE:
+                        out.append((template, start, share))
         return out
 
 
