@@ -6,8 +6,9 @@ random forest decides. The measures are length, character transitions, variety o
 characters, dictionary coverage, the path (the row's ``source``) and the neighbouring words.
 
 No table marks findings, so the query learns from findings that a rule of its own
-labels (``rule_label``): clear assignments to a secret's name, and clear numbers,
-placeholders and identifiers in prose; the rest stays unlabelled and the forest decides it.
+labels (``rule_label``): known key formats and clear assignments to a secret's name, and clear
+numbers, placeholders and identifiers in prose; the rest, strong-looking bare runs among
+it, stays unlabelled and the forest decides it.
 """
 
 from __future__ import annotations
@@ -23,12 +24,32 @@ from tokentally.llm.common import free_name, settle
 #: Bounds of the training sample; forest size; score from which a candidate is a secret.
 SAMPLE_FINDINGS, TREES, DEPTH, SECRET_FROM = 20_000, 20, 5, 0.5
 
+# Names of secrets, key formats, placeholder words, and common words for dictionary coverage.
+NAMES = (
+    "token|secret([_ -]?key)?|passw(or)?d|passwd|pwd|api[_ -]?key|access[_ -]?key|auth|bearer|credential|private[_ -]?key"
+)
+PREFIXED = (
+    r"(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])|gh[pousr]_[A-Za-z0-9]{20,}+|github_pat_[A-Za-z0-9_]{20,}+|"
+    r"glpat-[A-Za-z0-9_-]{20,}+|xox[abeoprs]-[A-Za-z0-9-]{10,}+|[sr]k_(?:live|test)_[A-Za-z0-9]{16,}+|"
+    r"AIza[A-Za-z0-9_-]{35}|npm_[A-Za-z0-9]{36}"
+)
 _PART = "A-Za-z0-9+/_=-"
-#: A run of 16 or more with a digit in it, or a quoted value of 8 or more after an assignment.
-CANDIDATE = rf"(?<![{_PART}])(?=[A-Za-z+/_=-]*+[0-9])[{_PART}]{{16,}}+|(?<=[=:] ?[\"'])[^\"'\s]{{8,}}+"
+_BARE = r"[^\s\"'`,;<>(){}]"
+_NAMED = rf"(?i:{NAMES})[\"']?[ \t]{{0,8}}[=:]"
+#: In this order: the body of a PEM private key; the password of a URL; a value after the name of a
+#: secret, without quotes, of 8 or more; a known key format; a run of 16 or more with a digit in it
+#: (that holds no such assignment); a quoted value of 8 or more after an assignment.
+CANDIDATE = "|".join(
+    [
+        r"(?<=-----)(?<=-----BEGIN [A-Z0-9 ]{0,24}PRIVATE KEY-----)(?:[\s\S]{16,65536}?(?=-----END )|[A-Za-z0-9+/=\s]{16,}+)",
+        r"(?<=:)(?<=://[^\s/:@\"']{0,30}:)[^\s/@\"']{5,}+(?=@)",
+        rf"(?<=[=: \t])(?<=[=:][ \t]{{0,8}})(?<={_NAMED}[ \t]{{0,8}})(?!//){_BARE}{{8,}}+",
+        rf"(?<![A-Za-z0-9_])(?:{PREFIXED})",
+        rf"(?<![{_PART}])(?!KEY-----)(?![A-Za-z0-9_-]{{0,64}}?{_NAMED}{_BARE}{{8}})(?=[A-Za-z+/_=-]*+[0-9])[{_PART}]{{16,}}+",
+        r"(?<=[\"'])(?<=[=:][ \t]{0,8}[\"'])[^\"'\s]{8,}+",
+    ]
+)
 
-# Names of secrets, placeholder words, and common words for dictionary coverage.
-NAMES = "token|secret|passw(or)?d|passwd|pwd|api[_ -]?key|access[_ -]?key|auth|bearer|credential|private[_ -]?key"
 PLACEHOLDERS = "example|sample|dummy|placeholder|changeme|your[_ -]|xxxx|redacted|fake|test"
 DICTIONARY = (
     "the|and|for|that|with|this|from|have|not|are|was|key|user|name|file|data|test|code|value|string|number|"
@@ -49,6 +70,7 @@ FEATURES = (
     "assigned",
     "quoted",
     "placeholder",
+    "known",
 )
 
 
@@ -102,15 +124,20 @@ def measured(found: DataFrame) -> DataFrame:
         "assigned": F.col("before").rlike("[=:]\\s*[\"']?$"),
         "quoted": F.col("before").rlike("[\"']$") & F.col("after").rlike("^[\"']"),
         "placeholder": beside.rlike(PLACEHOLDERS) | low.rlike(PLACEHOLDERS),
+        "known": value.rlike(rf"^(?:{PREFIXED})")
+        | F.col("before").rlike("PRIVATE KEY-----$")
+        | (F.col("before").rlike("://[^\\s/:@\"']{0,30}:$") & F.col("after").startswith("@")),
     }
     return found.withColumns({k: v.cast("double") for k, v in features.items()})
 
 
 def rule_label() -> Column:
-    """1 a clear secret, 0 clearly none, null undecided."""
-    secret = "named = 1 and assigned = 1 and quoted = 1 and transitions >= 3 and placeholder = 0 and covered < 0.5"
-    other = "placeholder = 1 or is_number = 1 or covered >= 0.5 or (named = 0 and assigned = 0 and quoted = 0)"
-    return F.expr(f"case when {secret} then 1D when {other} then 0D end")
+    """1 a clear secret, 0 clearly none, null undecided: strong-looking runs that stand bare among them."""
+    secret = "known = 1 or named = 1 and assigned = 1 and transitions >= 3 and covered < 0.5"
+    strong = "transitions >= 6 and variety * length >= 12"  # twelve different characters
+    bare = f"named = 0 and assigned = 0 and quoted = 0 and not ({strong})"
+    other = f"placeholder = 1 or known = 0 and (is_number = 1 or covered >= 0.5 or {bare})"
+    return F.expr(f"case when ({secret}) and placeholder = 0 then 1D when {other} then 0D end")
 
 
 def train_forest(labelled: DataFrame, sample_findings: int = SAMPLE_FINDINGS):
@@ -129,12 +156,16 @@ def train_forest(labelled: DataFrame, sample_findings: int = SAMPLE_FINDINGS):
 
 
 def scored(findings: DataFrame, forest) -> DataFrame:
-    """``findings`` with ``score``: the forest's, or without one the rule's label (undecided: 0.5)."""
+    """``findings`` with ``score``: the forest's, or without one the rule's label (undecided: 0.5).
+
+    Known formats, too rare for a sample to learn, have score 1 unless they are placeholders.
+    """
     if forest is None:
         return findings.withColumn("score", F.coalesce(rule_label(), F.lit(0.5)))
     rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(findings)
     rows = forest.transform(rows).withColumn("score", vector_to_array("probability")[1])
-    return rows.select(*findings.columns, "score")
+    sure = F.expr("known = 1 and placeholder = 0")
+    return rows.withColumn("score", F.when(sure, 1.0).otherwise(F.col("score"))).select(*findings.columns, "score")
 
 
 def scan_secrets(docs: DataFrame, *, path: str = "source") -> DataFrame:
