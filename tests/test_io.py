@@ -176,7 +176,7 @@ def test_command_line_job(spark, tmp_path, capsys):
 def test_gzip_input_is_spread_and_equal(spark, tmp_path):
     import gzip
 
-    from conftest import explain_text
+    from support import explain_text
 
     text = "".join(f"line {i} a b{i % 7}\n" for i in range(5000)).encode()
     (tmp_path / "plain.txt").write_bytes(text)
@@ -200,6 +200,18 @@ def test_nested_folders_are_read_whole(spark, tmp_path, files):
     assert result_manifest(spark, str(tmp_path)).count() == len(files)
 
 
+def test_nested_braces(spark, tmp_path):
+    """``{a,{b,c}}`` names three files, alone and in a list."""
+    from tokentally.sources.text import _path_list
+
+    for name in "abcd":
+        (tmp_path / f"{name}.txt").write_text(f"{name}\n")
+    both = f"{tmp_path}/{{a,{{b,c}}}}.txt"
+    assert _path_list(f"{both},x,,{{p,q}}") == [both, "x", "{p,q}"]
+    assert sorted(r.value for r in read_lines(spark, both).collect()) == ["a", "b", "c"]
+    assert sorted(r.value for r in read_lines(spark, f"{both},{tmp_path}/d.txt").collect()) == ["a", "b", "c", "d"]
+
+
 def test_brace_glob(spark, tmp_path):
     for name in ("a", "b", "c"):
         (tmp_path / f"{name}.txt").write_text(f"{name}\n")

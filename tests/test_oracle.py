@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from conftest import SF001, SF0001
+from support import SF001, SF0001
 from tokentally.plans.oracle import ORACLE_SQL
 
 TABLES = ["documents", "conversations", "pages", "part", "benchmark"]

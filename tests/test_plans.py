@@ -4,7 +4,7 @@ aggregates before the exchange, no Python evaluation, one plan at every size."""
 from __future__ import annotations
 
 import pytest
-from conftest import SF001, explain_text
+from support import SF001, explain_text
 from pyspark.errors import AnalysisException
 from tokentally.plans.catalog import QUERIES
 from tokentally.sources.tables import read_table

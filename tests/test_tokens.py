@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import explain_text, java_space_split, text_file_lines
+from support import explain_text, java_space_split, text_file_lines
 from tokentally.functions.text import lines_of, tokenize
 from tokentally.operators.tokens import alnum_tokens, explode_tokens
 from tokentally.sources.text import split_lines

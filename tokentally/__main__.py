@@ -1,6 +1,6 @@
 """Command-line word count job.
 
-    spark-submit --py-files tokentally.zip -m tokentally INPUT [OUTPUT]
+    spark-submit --py-files tokentally.zip tokentally/__main__.py INPUT [OUTPUT]
     python -m tokentally INPUT [OUTPUT]
 
 Reads the lines of INPUT (files, folders, globs, or a comma-separated list),

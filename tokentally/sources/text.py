@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,11 +11,18 @@ from tokentally.functions.text import lines_of
 
 
 def _path_list(paths: str | Sequence[str]) -> list[str]:
-    if isinstance(paths, str):
-        # A comma-joined string is a list of paths, as for SparkContext.textFile;
-        # a comma inside braces belongs to the glob.
-        return [p for p in re.split(r",(?![^{}]*\})", paths) if p]
-    return list(paths)
+    if not isinstance(paths, str):
+        return list(paths)
+    # A comma-joined string is a list of paths, as for SparkContext.textFile;
+    # a comma inside braces, which may be nested, belongs to the glob.
+    found, depth = [""], 0
+    for c in paths:
+        depth = max(0, depth + (c == "{") - (c == "}"))
+        if c == "," and not depth:
+            found.append("")
+        else:
+            found[-1] += c
+    return [p for p in found if p]
 
 
 def read_lines(
