@@ -19,7 +19,6 @@ from tokentally.llm.catalog import BYTE_RANKS, WORD_BPE
 from tokentally.session import fresh_path
 
 PLAIN = Tokenizer.from_file(WORD_BPE)
-PLAIN.encode_special_tokens = True
 
 
 def ids_of(text: str) -> list[int]:
@@ -35,13 +34,31 @@ def rows_of(df):
 
 
 def test_word_parts_equal_whole_texts():
-    coder, r = wordbpe.WordEncoder(wordbpe.definition(WORD_BPE), kept=200), random.Random(1)
-    letters = "aAbBéÉßsS'tTrRe .,!?0123٣½ \t\n\x0b\x0c\x1c\x85\xa0　WwǰİıΣσςÅ̧̊ñ漢字한ﬁ😀‍-_\"“”"
-    for _ in range(5000):
-        text = "".join(r.choice(letters) for _ in range(r.randrange(14)))
+    coder, r = wordbpe.WordEncoder(wordbpe.definition(WORD_BPE), kept_bytes=20_000), random.Random(1)
+    bits = list("aAbBéÉßsS'tTrRe .,!?0123٣½ \t\n\x0b\x0c\x1c\x85\xa0　WwǰİıΣσςÅ̧̊ñ漢字한ﬁ😀‍-_\"“”")
+    bits += ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "<|endoftext"] * 3
+    for _ in range(8000):
+        text = "".join(r.choice(bits) for _ in range(r.randrange(14)))
         assert np.frombuffer(coder.encode(text.encode()), "<u4").tolist() == ids_of(text), repr(text)
 
 
+def test_literals_give_the_librarys_ids():
+    coder = wordbpe.WordEncoder(wordbpe.definition(WORD_BPE))
+    for text in ("end <|endoftext|> of", "END<|endoftext|>OF <|ENDOFTEXT|>", "<|startoftext|>" * 3):
+        for _ in range(2):  # the second time from the store
+            assert np.frombuffer(coder.encode(text.encode()), "<u4").tolist() == ids_of(text)
+    assert ids_of("end <|endoftext|> of") == [806, 49407, 539]
+
+
+def test_the_store_is_bounded_by_bytes():
+    coder = wordbpe.WordEncoder(wordbpe.definition(WORD_BPE), kept_bytes=100_000)
+    for i in range(200):
+        coder.encode(" ".join(f"p{i}q{j}" for j in range(100)).encode())
+        assert coder.held <= 200_000 and len(coder.store) * wordbpe.KEEPING <= coder.held
+    coder.encode(b"y" * 1_000_000 + b" " + b"z" * 65)
+    assert max(map(len, coder.store), default=0) <= wordbpe.LONGEST_KEPT
+
+
 @pytest.mark.parametrize("kind", ["byte", "bit"])
 @settings(max_examples=30, deadline=None)
 @given(ids=st.lists(st.integers(0, 2**32 - 1), max_size=50))
@@ -94,6 +111,21 @@ def test_packing(request, which):
     assert len(bins) <= -(-sum(r.length for r in got) // 2048) + 1
 
 
+def test_packing_schema_and_plan(small):
+    """The contract's types, and a join that broadcasts no table that grows with the tasks."""
+    packed = packing.pack_documents(small, WORD_BPE)
+    assert packed.dtypes == [
+        ("doc_id", "bigint"),
+        ("piece", "int"),
+        ("start", "bigint"),
+        ("length", "bigint"),
+        ("ids_crc32", "bigint"),
+        ("sequence_id", "bigint"),
+        ("offset", "bigint"),
+    ]
+    assert "BroadcastExchange" not in packed._jdf.queryExecution().executedPlan().toString()
+
+
 def test_packing_of_nothing(nothing):
     assert packing.pack_documents(nothing, WORD_BPE).count() == 0
 
@@ -142,5 +174,31 @@ def test_safe_parts_change_no_id():
         assert bytebpe.encode(coder, text, 3) == coder.encode_ordinary(text), repr(text)
 
 
+def test_long_runs_of_white_space(spark):
+    """The library panics on these; a run of one kind is one match, encoded as one piece."""
+    coder = bytebpe.encoding(bytebpe._ranks(BYTE_RANKS), public_tokenizers.PATTERN)
+    r = random.Random(4)
+    for _ in range(4000):
+        text = "".join(r.choice(["a", "0", " ", "  ", "\n", "\t\t", "'s", "é", "\x1c", "\x85", "\xa0", "　"]) for _ in range(r.randrange(30)))
+        assert bytebpe.encode(coder, text, 3, 2) == coder.encode_ordinary(text), repr(text)
+    texts = ["a" + " " * 10_000_000 + "b", "\t" * 10_000_000, "x\n" + " \t" * 2_000_000 + "\ny", "a" + " " * 200_000 + "b"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r for r in bytebpe.round_trip(df, BYTE_RANKS, public_tokenizers.PATTERN).collect()}
+    for i, text in enumerate(texts):
+        assert got[i].decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
+    ids = coder.encode_ordinary(texts[3])  # short enough for the library
+    assert got[3].n_tokens == len(ids) and got[3].ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+    # ten million alike characters: as many ids a character as in the shorter run, and the last goes with the word
+    assert got[0].n_tokens - got[3].n_tokens == (10_000_000 - 200_000) * (got[3].n_tokens - 1) // 200_000
+
+
+def test_an_unknown_id_fails(spark):
+    df = spark.createDataFrame([(1, [5, 99_999_999])], "doc_id bigint, ids array<int>")
+    with pytest.raises(Exception, match="KeyError"):
+        bytebpe.decode_ids(df, BYTE_RANKS, public_tokenizers.PATTERN).collect()
+    none = spark.createDataFrame([(1, None), (2, [])], "doc_id bigint, ids array<int>")
+    assert {bytes(r.bytes) for r in bytebpe.decode_ids(none, BYTE_RANKS, public_tokenizers.PATTERN).collect()} == {b""}
+
+
 def test_byte_bpe_of_nothing(nothing):
     assert bytebpe.round_trip(nothing, BYTE_RANKS, public_tokenizers.PATTERN).count() == 0

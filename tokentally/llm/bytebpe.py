@@ -4,6 +4,11 @@ Long texts are cut at safe boundaries first: places where one match of the split
 pattern ends whatever comes after, so that the parts' ids joined are the whole text's.
 Such a place stands between a character that is no white space and a space or line
 end, and between a basic letter and a digit. A run without such a place stays whole.
+
+A long run of white space is one match that the pattern finds by backtracking over all
+of it, which ends in a stack overflow inside the library. Such a run is known beforehand:
+all of it at the end of a text, and all but its last character before other text. It is
+encoded as one piece, without the pattern.
 """
 
 from __future__ import annotations
@@ -23,6 +28,11 @@ from tokentally.llm.common import ship_code, text_bytes
 #: Texts of more characters are cut into parts of about this many.
 PART_CHARS = 1 << 16
 
+#: White space runs of so many characters are encoded beside the pattern.
+RUN_CHARS = 1 << 14
+
+# The characters that the library's patterns call white space (Unicode White_Space).
+_WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _SAFE = re.compile(r"\S(?=[ \n])|[A-Za-z](?=[0-9])|[0-9](?=[A-Za-z])")
 _encodings: dict[str, tiktoken.Encoding] = {}
 
@@ -44,10 +54,22 @@ def safe_parts(text: str, size: int = PART_CHARS) -> Iterator[str]:
     yield text[start:]
 
 
-def encode(coder: tiktoken.Encoding, text: str, size: int = PART_CHARS) -> list[int]:
-    if len(text) <= size:
-        return coder.encode_ordinary(text)
-    return [i for part in safe_parts(text, size) for i in coder.encode_ordinary(part)]
+def encoded_parts(coder: tiktoken.Encoding, text: str, size: int = PART_CHARS, run: int = RUN_CHARS) -> Iterator[list[int]]:
+    """The ids of ``text``, part by part."""
+    if len(text) <= min(size, run):
+        yield coder.encode_ordinary(text)
+        return
+    start = 0
+    for white in re.finditer(f"[{_WHITE}]{{{run},}}", text):
+        end = white.end() - (white.end() < len(text))  # the last one goes with what follows
+        yield from map(coder.encode_ordinary, safe_parts(text[start : white.start()], size))
+        yield coder._encode_single_piece(text[white.start() : end])
+        start = end
+    yield from map(coder.encode_ordinary, safe_parts(text[start:], size))
+
+
+def encode(coder: tiktoken.Encoding, text: str, size: int = PART_CHARS, run: int = RUN_CHARS) -> list[int]:
+    return [i for ids in encoded_parts(coder, text, size, run) for i in ids]
 
 
 def _coded(ranks: str, pattern: str):
@@ -82,10 +104,14 @@ def _digests(ranks: str, pattern: str):
         for batch in batches:
             counts, names, backs = [], [], []
             for data in text_bytes(batch.column(1)):
-                ids = encode(coder, data.decode())
-                counts.append(len(ids))
-                names.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
-                backs.append(hashlib.sha256(coder.decode_bytes(ids)).hexdigest())
+                n, written, back = 0, hashlib.sha256(), hashlib.sha256()
+                for ids in filter(None, encoded_parts(coder, data.decode())):
+                    written.update(("," * (n > 0) + ",".join(map(str, ids))).encode())
+                    back.update(coder.decode_bytes(ids))
+                    n += len(ids)
+                counts.append(n)
+                names.append(written.hexdigest())
+                backs.append(back.hexdigest())
             columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(names), pa.array(backs)]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
@@ -112,7 +138,11 @@ def encode_texts(docs: DataFrame, rank_path: str, pattern: str) -> DataFrame:
 
 
 def decode_ids(coded: DataFrame, rank_path: str, pattern: str) -> DataFrame:
-    """``[doc_id, bytes]``: the bytes of each row's ids, which need not end on whole characters."""
+    """``[doc_id, bytes]``: the bytes of each row's ids, which need not end on whole characters.
+
+    Null ids are no ids; an id that the ranks do not hold fails the job (``KeyError``).
+    Repeated rows and null ``doc_id`` are carried along; other columns are ignored.
+    """
     ship_code(coded.sparkSession)
     run = _decoded(_ranks(rank_path), pattern)
     return coded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, bytes binary")
