@@ -1,3 +1,99 @@
 """DuckDB SQL for the queries that SQL can express in full."""
 
-ORACLE_SQL: dict[str, str] = {}
+FILTER_AUDIT = r"""
+WITH tested AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), smallest AS (
+  SELECT t, min(doc_id) AS least FROM tested GROUP BY t
+), marks AS (
+  SELECT doc_id, max((quality = 1)::int) AS good, max((toxic = 1)::int) AS toxic FROM labels GROUP BY doc_id
+), failing AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         CASE WHEN len(ws) < 100 THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(ws)) < 80 * len(ws) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN least < tested.doc_id THEN 'E' ELSE '' END AS fails
+  FROM tested JOIN smallest USING (t) LEFT JOIN marks ON marks.doc_id = tested.doc_id
+), cells AS (
+  SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failing GROUP BY part, fails
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f
+), orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), placed AS (
+  SELECT cells.*, filter_order, step, substr(filter_order, step, 1) AS f,
+         CASE WHEN fails = '' THEN 9 ELSE list_min([instr(filter_order, x) FOR x IN string_split(fails, '')]) END AS gone
+  FROM cells, orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+), steps AS (
+  SELECT part, filter_order, step, f,
+         sum(CASE WHEN gone > step THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN gone = step THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN contains(fails, f) AND gone < step THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN fails = f THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN gone = step THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN gone = step THEN toxic ELSE 0 END) AS toxic_lost
+  FROM placed GROUP BY part, filter_order, step, f
+)
+SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+       redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+       toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM steps
+"""
+
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+RANKED_SEARCH = f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row, doc_id, {_TERMS} AS ts FROM documents
+), asked AS (
+  SELECT DISTINCT query, item_id, term FROM (
+    SELECT row_number() OVER () AS query, item_id, unnest({_TERMS}) AS term FROM benchmark)
+), corpus AS (
+  SELECT count(*) AS docs, sum(len(ts))::BIGINT AS terms FROM texts WHERE len(ts) > 0
+), tfs AS (
+  SELECT row, doc_id, n, term, count(*) AS tf FROM (
+    SELECT row, doc_id, len(ts) AS n, unnest(ts) AS term FROM texts)
+  WHERE term IN (SELECT term FROM asked) GROUP BY row, doc_id, n, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM tfs GROUP BY term), corpus
+), scores AS (
+  SELECT query, item_id, row, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms))))::BIGINT AS score
+  FROM tfs JOIN asked USING (term) JOIN weights USING (term), corpus
+  WHERE doc_id IS NOT NULL GROUP BY query, item_id, row, doc_id
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+WHERE rank <= 50
+"""
+
+CHAT_FORMAT = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS t FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), written AS (
+  SELECT *, replace(replace(replace(t, '\', '\\'), '#', '\#'), '</', '<\/') AS body,
+         replace(replace(replace(replace(role, '\', '\\'), '#', '\#'), '</', '<\/'), ':', '\;') AS head
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn NULLS FIRST, role, sha256(t))) AS turns_sha256,
+       sum(CASE WHEN role = 'assistant' THEN length(t) ELSE 0 END)::BIGINT AS loss_chars,
+       sha256(string_agg(CASE WHEN role = 'assistant' THEN t ELSE '' END, '' ORDER BY turn NULLS FIRST, role, sha256(t))) AS loss_sha256,
+       sum(length('### ' || head || ': ' || body || '</turn>' || chr(10)))::BIGINT AS formatted_chars
+FROM written GROUP BY conv_id
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op11_filter_audit": FILTER_AUDIT,
+    "op12_ranked_search": RANKED_SEARCH,
+    "op13_chat_format": CHAT_FORMAT,
+}
