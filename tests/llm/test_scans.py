@@ -109,6 +109,69 @@ def test_all_licences_of_one_text(spark):
     assert not any(got[i] for i in range(1, 51))
 
 
+def plain_labels(words):
+    """Every template at every word of a file, by the stated rule and a plain subsequence table."""
+    found = set()
+    for t in licenses.templates():
+        (a, b), *others = t.keys
+        for start in range(-a, len(words)):
+            if start + a < 0 or words[start + a : start + b] != t.words[a:b]:
+                continue
+            around = range(-t.slack, t.slack + 1)
+            if not all(any(start + c + k >= 0 and words[start + c + k : start + d + k] == t.words[c:d] for k in around) for c, d in others):
+                continue
+            window = words[max(0, start - t.slack) : start + len(t.words) + t.slack]
+            row = [0] * (len(t.words) + 1)
+            for w in window:
+                new = [0]
+                for i, x in enumerate(t.words):
+                    new.append(row[i] + 1 if x == w else max(row[i + 1], new[-1]))
+                row = new
+            if t.base or row[-1] >= licenses.LEAST_SCORE * len(t.words):
+                found.add(t.label)
+    return ",".join(sorted(found))
+
+
+def test_changed_licences_equal_the_plain_rule():
+    """Words put in, left out and changed, templates cut and joined: the index loses no place and adds none."""
+    r, all_templates, seen = random.Random(9), licenses.templates(), Counter()
+    for _ in range(400):
+        words = []
+        for t in r.choices(all_templates, k=r.randrange(1, 4)):
+            rate = r.choice([0, 0.02, 0.08])
+            part = t.words[r.choice([0, 0, 5]) : len(t.words) - r.choice([0, 0, 7])]
+            for w in part:
+                x = r.random()
+                words += [w] if x > rate else r.choice([[], [w, "extra"], ["other"], [w, *["more"] * r.randrange(1, 9)]])
+            words += ["between"] * r.randrange(3)
+        h = licenses.word_hashes(" ".join(words).encode(), licenses._APART)
+        held = {int(w): r.randrange(50) for w in h}
+        got = licenses.Index(all_templates, held).scan(h)
+        assert ",".join(sorted({t.label for t, _, _ in got})) == plain_labels(words), words
+        seen.update({t.label for t, _, _ in got})
+    assert len(seen) == len({t.label for t in all_templates})
+
+
+def test_inserted_words_lose_no_licence(spark):
+    passage = {k: re.sub(r"[\[\]]", "", v) for k, v in licenses.TEMPLATES.items()}
+    texts = [
+        passage["mit-text"].replace("any person", "each and any person"),
+        passage["gpl-text"].replace("you can redistribute", "you may freely redistribute"),
+        passage["mit-full"].replace("as is without", "as is and with all faults without").upper(),
+        passage["mit-text"].replace("without restriction", "without any restriction"),  # a key phrase is word for word
+        "permission is hereby granted " + "other words " * 40 + "without restriction",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.labels for r in licenses.scan_licenses(df).collect()}
+    assert got == {0: "mit-text", 1: "gpl,gpl-text", 2: "mit-full,mit-text", 3: "", 4: ""}
+
+
+def test_places_of_a_licence_take_linear_time():
+    h = licenses.word_hashes(("mit license " * 300_000 + "gnu general public license " * 100_000).encode(), licenses._APART)
+    got = licenses.Index(licenses.templates(), {}).scan(h)
+    assert Counter(t.label for t, _, _ in got) == {"mit": 300_000, "gpl": 100_000}
+
+
 def plain_counts(t):
     w = WORD.findall(t)
     seen = Counter(tuple(w[i : i + 8]) for i in range(len(w) - 7))
