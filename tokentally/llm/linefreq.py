@@ -2,12 +2,14 @@
 
 Lines are normalised (lower case, digit runs to one 0, white space to single
 spaces) and hashed. A line is removed when it stands in more distinct documents of a
-host than ``max_documents`` and in more than ``max_settings`` distinct settings there. A
-setting is the maximal run of shared lines (those above ``max_documents``) that a line
-stands in, with the lines beside that run: a block of page furniture, however long, stands
-beside ever other lines, while texts that differ in digits, case or spacing only have one
-setting, and such copies are not this operator's work. Documents of one text count once. A
-document is rejected when removal leaves too small a share of its words.
+host than ``max_documents``. Documents of one text count once. A document is rejected when
+removal leaves too small a share of its words.
+
+As an option, off unless asked for, a line must also stand in more than ``max_settings``
+distinct settings of the host. A setting is the maximal run of shared lines (those above
+``max_documents``) that a line stands in, with the lines beside that run: page furniture stands
+beside ever other lines, while large groups of near copies have few settings and so can be
+left to an operator that finds copies.
 
 Before that, base rules on each text alone: too few words, or too many words in
 repeated windows of eight.
@@ -18,10 +20,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokentally.llm.common import free_name, settle
+from tokentally.llm.common import every_column, free_name, settle
 
 MIN_WORDS, WINDOW, REPEAT_PERCENT = 20, 8, 30
-MAX_DOCUMENTS, MAX_SETTINGS, LEAST_LEFT_PERCENT = 100, 50, 30
+MAX_DOCUMENTS, LEAST_LEFT_PERCENT = 100, 30
 
 _SPACE = r"[ \t\n\x0B\f\r]"
 _SYMBOLS = r"[^#*$%&|<>]+"
@@ -95,10 +97,12 @@ def _shared(rows: DataFrame, max_documents: int) -> DataFrame:
     return settle(places.join(marks, ["at", "none", "h"]), "places")
 
 
-def _removed(rows: DataFrame, max_documents: int, max_settings: int) -> DataFrame:
-    """``[row, at, none, content, pos, n]``: the places of the lines above both limits."""
+def _removed(rows: DataFrame, max_documents: int, max_settings: int | None) -> DataFrame:
+    """``[row, at, none, content, pos, n]``: the places of the lines above the limits."""
     places = _shared(rows, max_documents)
     text = ["at", "none", "content"]
+    if max_settings is None:
+        return places.select("row", *text, "pos", "n")
     once = places.groupBy(*text, "pos").agg(*[F.min(c).alias(c) for c in ("h", "before", "after")])  # copies have equal lines
     run = F.col("pos") - F.row_number().over(Window.partitionBy(*text).orderBy("pos"))
     runs = once.withColumn("run", run).groupBy(*text, "run")
@@ -136,7 +140,7 @@ def line_quality(
     *,
     host: str = "source",
     max_documents: int = MAX_DOCUMENTS,
-    max_settings: int = MAX_SETTINGS,
+    max_settings: int | None = None,
     least_left_percent: int = LEAST_LEFT_PERCENT,
 ) -> DataFrame:
     """Counts and verdict for every row of ``docs [doc_id, text, host]``.
@@ -166,7 +170,7 @@ def keep_quality(docs: DataFrame, **limits) -> DataFrame:
     )
     keyed = docs.withColumn(a, F.coalesce(F.col(host).cast("string"), F.lit("\0")))
     keyed = keyed.withColumn(b, F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
-    return keyed.join(bad, [a, b], "left_anti").select(docs.columns)
+    return keyed.join(bad, [a, b], "left_anti").select(*every_column(docs))
 
 
 def clean_quality(
@@ -174,7 +178,7 @@ def clean_quality(
     *,
     host: str = "source",
     max_documents: int = MAX_DOCUMENTS,
-    max_settings: int = MAX_SETTINGS,
+    max_settings: int | None = None,
     least_left_percent: int = LEAST_LEFT_PERCENT,
     size: str | None = "n_chars",
 ) -> DataFrame:
@@ -207,4 +211,4 @@ def clean_quality(
     out = out.withColumn("text", F.when(changed, stay).otherwise(F.col("text")))
     if size is not None and size in docs.columns:
         out = out.withColumn(size, F.when(changed, F.length("text")).otherwise(F.col(size)).cast(docs.schema[size].dataType))
-    return out.select(docs.columns)
+    return out.select(*every_column(docs))
