@@ -89,6 +89,16 @@ def q_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(format_chats(table_events(turns.union(more))))
 
 
+def q_personal_data_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of ``op1_personal_data`` that SQL can state."""
+    return q_personal_data(spark, sf_dir).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256")
+
+
+def q_licenses_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of ``op5_licenses`` that SQL can state."""
+    return q_licenses(spark, sf_dir).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_personal_data": q_personal_data,
     "op2_embedding_duplicates": q_embedding_duplicates,
@@ -103,4 +113,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op11_filter_audit": q_filter_audit,
     "op12_ranked_search": q_ranked_search,
     "op13_chat_format": q_chat_format,
+    "personal_data_base": q_personal_data_base,
+    "licenses_base": q_licenses_base,
 }
