@@ -5,25 +5,28 @@ Bytes are embedded, and learned filters slide over the whole text. Overlapping c
 a document's chunks are combined into their largest, mean and smallest of these, and a
 small dense layer turns that, with the text's length, into one probability. All weights,
 the filters included, are trained by back-propagation on a bounded sample of labelled
-rows, of each at most ``TRAIN_CHUNKS`` chunks spread over the text. Scoring covers
-every byte.
+rows. Training and scoring cover every byte of a text alike; for the slope only the windows
+are kept that gave a chunk's largest responses.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tokentally.llm.common import free_name, ship_code, text_bytes
+from tokentally.llm.common import every_column, free_name, settle, ship_code, text_bytes
 
 EMBED, WIDTH, FILTERS, HIDDEN = 8, 7, 16, 16
 CHUNK, STEP = 1024, 768
-#: Bounds of the training sample, training steps whatever its size, and the score from which a text is good.
-SAMPLE_ROWS, TRAIN_CHUNKS, STEPS, GOOD_FROM = 4000, 6, 1250, 0.7
+#: Bounds of the training sample (rows, and bytes of their texts), training steps whatever its size, and the score
+#: from which a text is good.
+SAMPLE_ROWS, SAMPLE_BYTES, STEPS, GOOD_FROM = 4000, 64 << 20, 1250, 0.7
 #: Weight decay.
 DECAY = 1e-3
 #: Texts are convolved this many chunk steps at a time.
@@ -58,21 +61,35 @@ class Network:
             out += tables[j][data[j : j + n]]
         return out
 
-    def pooled(self, text: bytes, tables: np.ndarray) -> np.ndarray:
-        """The largest responses of each chunk, ``[chunk, FILTERS]``, over the whole text."""
+    def _blocks(self, text: bytes, tables: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """``(data, edges, responses)`` of some chunks after another: ``edges`` are their ends among the responses."""
         data = np.concatenate([np.frombuffer(text, np.uint8), np.zeros(WIDTH, np.uint8)])
         n = len(data) - WIDTH + 1
         starts = chunk_starts(n)
-        out = []
         for k in range(0, len(starts), STEPS_AT_ONCE):
             part = starts[k : k + STEPS_AT_ONCE]
             end = min(n, part[-1] + CHUNK)
-            seen = self.responses(data[part[0] : end + WIDTH - 1], tables)
-            edges = np.stack([part, np.minimum(part + CHUNK, end)], 1).ravel() - part[0]
+            piece = data[part[0] : end + WIDTH - 1]
+            yield piece, np.stack([part, np.minimum(part + CHUNK, end)], 1) - part[0], self.responses(piece, tables)
+
+    def pooled(self, text: bytes, tables: np.ndarray) -> np.ndarray:
+        """The largest responses of each chunk, ``[chunk, FILTERS]``, over the whole text."""
+        out = []
+        for _, edges, seen in self._blocks(text, tables):
             # reduceat's odd entries are the gaps between a chunk's end and the next one's start
-            out.append(np.maximum.reduceat(np.concatenate([seen, seen[-1:]]), edges, axis=0)[::2])
+            out.append(np.maximum.reduceat(np.concatenate([seen, seen[-1:]]), edges.ravel(), axis=0)[::2])
         return np.maximum(np.concatenate(out) + self.w["bias"], 0)
 
+    def winners(self, text: bytes, tables: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each chunk's largest responses with the bias, ``[chunk, FILTERS]``, and the windows that gave them, ``[.., WIDTH]``."""
+        top, windows = [], []
+        for data, edges, seen in self._blocks(text, tables):
+            for a, b in edges.tolist():
+                at = seen[a:b].argmax(0)
+                top.append(seen[a:b][at, np.arange(FILTERS)])
+                windows.append(data[a + at[:, None] + np.arange(WIDTH)])
+        return np.stack(top) + self.w["bias"], np.stack(windows)
+
     def combine(self, pooled: np.ndarray, length: int) -> np.ndarray:
         extent = [np.log1p(length) / 8, 1.0]
         return np.concatenate([pooled.max(0), pooled.mean(0), pooled.min(0), extent])
@@ -81,15 +98,13 @@ class Network:
         hidden = np.tanh(vectors @ self.w["dense"])
         return 1 / (1 + np.exp(-np.clip(hidden @ self.w["out"][:-1] + self.w["out"][-1], -30, 30)))
 
-    def gradient(self, chunks: list[bytes], length: int, label: float, tables: np.ndarray, total: dict) -> None:
+    def gradient(self, text: bytes, label: float, tables: np.ndarray, total: dict) -> None:
         """Add the slope of one document's log loss to ``total``."""
         w = self.w
-        data = [np.concatenate([np.frombuffer(c, np.uint8), np.zeros(WIDTH, np.uint8)]) for c in chunks]
-        seen = [self.responses(d, tables) for d in data]
-        places = np.stack([s.argmax(0) for s in seen])
-        raw = np.stack([s.max(0) for s in seen]) + w["bias"]
+        raw, bytes_at = self.winners(text, tables)  # [chunk, filter], [chunk, filter, tap]
+        chunks = len(raw)
         pooled = np.maximum(raw, 0)
-        x = self.combine(pooled, length)
+        x = self.combine(pooled, len(text))
         hidden = np.tanh(x @ w["dense"])
         p = 1 / (1 + np.exp(-np.clip(hidden @ w["out"][:-1] + w["out"][-1], -30, 30)))
         slope = p - label
@@ -97,19 +112,18 @@ class Network:
         back = slope * w["out"][:-1] * (1 - hidden**2)
         total["dense"] += np.outer(x, back)
         dx = w["dense"] @ back
-        d = np.repeat(dx[None, FILTERS : 2 * FILTERS] / len(chunks), len(chunks), 0)
+        d = np.repeat(dx[None, FILTERS : 2 * FILTERS] / chunks, chunks, 0)
         f = np.arange(FILTERS)
         d[pooled.argmax(0), f] += dx[:FILTERS]
         d[pooled.argmin(0), f] += dx[2 * FILTERS : 3 * FILTERS]
         d = d * (raw > 0)
         total["bias"] += d.sum(0)
-        bytes_at = np.stack([v[p[:, None] + np.arange(WIDTH)] for v, p in zip(data, places)])  # [chunk, filter, tap]
         total["taps"] += np.einsum("cf,cfwe->wef", d, w["embed"][bytes_at])
         np.add.at(total["embed"], bytes_at, d[:, :, None, None] * w["taps"].transpose(2, 0, 1)[None])
 
 
-def train(rows: list[tuple[list[bytes], int, int]], steps: int = STEPS, batch: int = 32, rate: float = 4e-3) -> Network:
-    """Fit to ``(chunks, length, label)`` by Adam; the same rows give the same weights."""
+def train(rows: list[tuple[bytes, int]], steps: int = STEPS, batch: int = 32, rate: float = 4e-3) -> Network:
+    """Fit to ``(text, label)`` by Adam; the same rows give the same weights."""
     net, r = Network(), np.random.default_rng(11)
     first = {k: np.zeros_like(v) for k, v in net.w.items()}
     second = {k: np.zeros_like(v) for k, v in net.w.items()}
@@ -130,28 +144,17 @@ def train(rows: list[tuple[list[bytes], int, int]], steps: int = STEPS, batch: i
     return net
 
 
-def _sampled_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        chunks, sizes = [], []
-        for text in text_bytes(batch.column(1)):
-            starts = chunk_starts(len(text) + 1)
-            some = starts[np.unique(np.linspace(0, len(starts) - 1, TRAIN_CHUNKS).astype(int))]
-            chunks.append([text[s : s + CHUNK] for s in some.tolist()])
-            sizes.append(len(text))
-        columns = [batch.column(0), pa.array(chunks, pa.list_(pa.binary())), pa.array(sizes, pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, names=["label", "chunks", "length"])
-
-
 def held_out(doc_id):
     """Whether a row's fold is never learned from: CRC-32 of the id as text, modulo 4, is 2."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Network | None:
+def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES) -> Network | None:
     """Train on labelled rows outside the held-out fold; ``None`` if there are none.
 
     The sample is the ``sample_rows`` ids of smallest hash among those with one
-    quality label, 0 or 1, or equal ones; ids without a document are passed over.
+    quality label, 0 or 1, or equal ones; ids without a document are passed over. Of these, rows are
+    taken, shortest texts first, as long as all texts together have ``sample_bytes`` at most.
     """
     ship_code(docs.sparkSession)
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("int").alias("label"))
@@ -160,8 +163,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> N
     some = known.where("label = other").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows).select("doc_id", "label")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").alias("text"))
     texts = texts.join(F.broadcast(some), "doc_id")  # at most sample_rows short rows
-    rows = texts.select("label", "text").mapInArrow(_sampled_chunks, "label int, chunks array<binary>, length bigint")
-    rows = sorted(([bytes(c) for c in r["chunks"]], r["length"], r["label"]) for r in rows.collect())
+    texts = settle(texts.select("label", F.coalesce("text", F.lit("")).alias("text")), "sample")
+    sizes = Counter(r["n"] for r in texts.select(F.octet_length("text").alias("n")).toLocalIterator())  # of the sampled rows
+    longest, held = -1, 0
+    for n in sorted(sizes):
+        held += n * sizes[n]
+        if held > sample_bytes:
+            break
+        longest = n
+    rows = texts.where(F.octet_length("text") <= longest).collect()
+    rows = sorted((r["text"].encode(), r["label"]) for r in rows)
     return train(rows) if rows else None
 
 
@@ -182,8 +193,9 @@ def _scored(net: Network | None):
 def _with_score(docs: DataFrame, net: Network | None, name: str) -> DataFrame:
     """``docs`` with one more column: the score of the whole ``text``."""
     ship_code(docs.sparkSession)
-    carried = docs.select(F.col("text").alias("__text"), *[F.col(c) for c in docs.columns])
-    schema = ", ".join(f"c{i} {kind}" for i, kind in enumerate([f.dataType.simpleString() for f in docs.schema] + ["double"]))
+    carried = docs.select(F.col("text").alias("text"), *[c.alias(f"c{i}") for i, c in enumerate(every_column(docs))])
+    kinds = [f.dataType for f in docs.schema] + [DoubleType()]
+    schema = StructType([StructField(f"c{i}", kind) for i, kind in enumerate(kinds)])
     return carried.mapInArrow(_scored(net), schema).toDF(*docs.columns, name)
 
 
@@ -209,10 +221,11 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the classifier finds good, whole and with all their columns.
 
-    Without labels nothing is known, and all rows stay.
+    A null text is scored as the empty one. Repeated rows and null ids are judged like any other; an empty
+    table stays empty. Without labels nothing is known, and all rows stay.
     """
     net = fit(docs, labels)
     if net is None:
         return docs
     name = free_name(docs.columns, "quality_score")
-    return _with_score(docs, net, name).where(F.col(name) >= GOOD_FROM).select(docs.columns)
+    return _with_score(docs, net, name).where(F.col(name) >= GOOD_FROM).select(*every_column(docs))
