@@ -41,12 +41,20 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: A trained network, tokenization and packing are beyond SQL; tests compare with brute force.
+#: A trained network, tokenization and packing are beyond SQL; the tests compare ``run`` with brute-force versions of
+#: the other stages on the rows that the network keeps.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply ``STAGES`` to ``documents``; each stage's rows are written and read again."""
+    """Apply ``STAGES`` to ``documents``; each stage's rows are written and read again.
+
+    Documents with a null or empty text have no words, so the quality rules refuse them; a text that the
+    classifier or the rules refuse is gone, of a group of near copies the smallest ``doc_id`` stays, rows that
+    repeat an id and its text are one, and rows without an id are no copies of any. All other columns are
+    carried along, whatever their names, and dropped by the last stage. Without labels the classifier keeps
+    all rows. An empty table gives an empty result.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = settle(stage(spark, docs, sf_dir), name)
