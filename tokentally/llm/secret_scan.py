@@ -1,14 +1,14 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
-DataFrame functions only: regular expressions cut the candidates and their
-neighbourhood out of the whole text, built-in functions measure them, and Spark's own
-random forest decides. The measures are length, character transitions, variety of
+DataFrame functions only: one regular expression marks the candidates of a whole text
+in a single pass, the text is split at the marks, built-in functions measure each candidate, and
+Spark's own random forest decides. The measures are length, character transitions, variety of
 characters, dictionary coverage, the path (the row's ``source``) and the neighbouring words.
 
-No table marks findings, so the query learns from findings that a rule of its own
-labels (``rule_label``): known key formats and clear assignments to a secret's name, and clear
-numbers, placeholders and identifiers in prose; the rest, strong-looking bare runs among
-it, stays unlabelled and the forest decides it.
+The forest is trained from labelled findings: those that the caller has (``labelled``), or else
+those that a rule labels (``rule_label``): known key formats and clear assignments to a secret's
+name, and clear numbers, placeholders and identifiers in prose; the rest, strong-looking
+bare runs among it, stays unlabelled and the forest decides it.
 """
 
 from __future__ import annotations
@@ -16,10 +16,10 @@ from __future__ import annotations
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokentally.llm.common import free_name, settle
+from tokentally.llm.common import every_column, free_name, settle
 
 #: Bounds of the training sample; forest size; score from which a candidate is a secret.
 SAMPLE_FINDINGS, TREES, DEPTH, SECRET_FROM = 20_000, 20, 5, 0.5
@@ -36,24 +36,43 @@ PREFIXED = (
 _PART = "A-Za-z0-9+/_=-"
 _BARE = r"[^\s\"'`,;<>(){}]"
 _NAMED = rf"(?i:{NAMES})[\"']?[ \t]{{0,8}}[=:]"
-#: In this order: the body of a PEM private key; the password of a URL; a value after the name of a
-#: secret, without quotes, of 8 or more; a known key format; a run of 16 or more with a digit in it
-#: (that holds no such assignment); a quoted value of 8 or more after an assignment.
+#: In this order: the body of a PEM private key (1: what stands before it, 2: the body with its header lines);
+#: the password of a URL (3: before, 4: password); in group 5 a value after the name of a secret, without quotes,
+#: of 8 or more; a known key format; a run of 16 or more with a digit in it (that holds no such assignment);
+#: a quoted value of 8 or more after an assignment. The first tests of an alternative are cheap ones that rule out
+#: nearly all places. Repetitions are possessive or count a class, so a long run takes its length.
 CANDIDATE = "|".join(
     [
-        r"(?<=-----)(?<=-----BEGIN [A-Z0-9 ]{0,24}PRIVATE KEY-----)(?:[\s\S]{16,65536}?(?=-----END )|[A-Za-z0-9+/=\s]{16,}+)",
-        r"(?<=:)(?<=://[^\s/:@\"']{0,30}:)[^\s/@\"']{5,}+(?=@)",
-        rf"(?<=[=: \t])(?<=[=:][ \t]{{0,8}})(?<={_NAMED}[ \t]{{0,8}})(?!//){_BARE}{{8,}}+",
-        rf"(?<![A-Za-z0-9_])(?:{PREFIXED})",
-        rf"(?<![{_PART}])(?!KEY-----)(?![A-Za-z0-9_-]{{0,64}}?{_NAMED}{_BARE}{{8}})(?=[A-Za-z+/_=-]*+[0-9])[{_PART}]{{16,}}+",
-        r"(?<=[\"'])(?<=[=:][ \t]{0,8}[\"'])[^\"'\s]{8,}+",
+        r"(-----BEGIN (?:[A-Z0-9]++ ){0,3}PRIVATE KEY-----)((?:\s{1,4}[A-Za-z]++-[A-Za-z]++: [^\n]*+){0,8}[A-Za-z0-9+/=\s]{16,}+)",
+        r"(://[^\s/:@\"']*+:)([^\s/@\"']{5,}+)(?=@)",
+        "((?<![A-Za-z0-9])(?:"
+        + "|".join(
+            [
+                rf"(?<=[=: \t])(?<![^=: \t][ \t])(?<=[=:][ \t]{{0,8}})(?<={_NAMED}[ \t]{{0,8}})(?!//){_BARE}{{8,}}+",
+                rf"(?<!_)(?=A[IKS]|g[hil]|xox|[rs]k_|npm)(?:{PREFIXED})",
+                rf"(?<![{_PART}])(?=[{_PART}]{{16}})(?=[A-Za-z+/_=-]*+[0-9])(?!KEY-----)"
+                rf"(?![A-Za-z0-9_-]{{0,64}}?{_NAMED}{_BARE}{{8}})[{_PART}]{{16,}}+",
+                r"(?<=[\"'])(?<=[=:][ \t]{0,8}[\"'])[^\"'\s]{8,}+",
+            ]
+        )
+        + "))",
     ]
 )
+#: Characters that no text should hold (Unicode noncharacters): the first that a text lacks marks its candidates.
+MARKS = ("﷐", "﷑", "﷒", "﷓")
 
 PLACEHOLDERS = "example|sample|dummy|placeholder|changeme|your[_ -]|xxxx|redacted|fake|test"
 DICTIONARY = (
-    "the|and|for|that|with|this|from|have|not|are|was|key|user|name|file|data|test|code|value|string|number|"
-    "order|page|item|list|type|class|index|version|content|image|secret|password|token|account|server|client"
+    "the|and|for|that|with|this|from|have|not|are|was|you|your|all|can|will|one|out|about|which|their|there|when|"
+    "what|more|been|other|into|time|than|only|over|such|also|after|first|where|most|should|because|each|before|between|"
+    "key|user|name|file|data|test|code|value|string|number|order|page|item|list|type|class|index|version|content|image|"
+    "secret|password|token|account|server|client|request|response|message|error|result|session|config|default|public|"
+    "private|static|return|function|method|object|array|table|column|field|query|update|create|delete|insert|select|"
+    "module|package|import|export|build|debug|release|master|branch|commit|merge|local|remote|global|system|"
+    "service|handler|manager|factory|builder|provider|controller|component|template|document|report|"
+    "address|street|city|country|phone|email|product|customer|supplier|invoice|payment|price|amount|total|count|size|"
+    "length|width|height|color|style|border|margin|button|window|screen|layout|event|action|state|status|level|group|"
+    "admin|login|logout|access|auth|role|permission|policy|region|bucket|volume|network|host|port|path|route"
 )
 PATHS = "test|example|sample|fixture|mock|docs?/"
 
@@ -78,29 +97,33 @@ def find_candidates(docs: DataFrame, path: str = "source") -> DataFrame:
     """``[doc_id, path, content, start, value, before, after]``, a row for each candidate in a whole text.
 
     ``start`` counts code points from 0; ``before`` and ``after`` are the 40 and 20
-    characters beside it; ``content`` is the MD5 of the text.
+    characters beside it, as far as the next candidate; ``content`` is the MD5 of the text. In a text that
+    holds all of ``MARKS`` the first of them is read as U+FFFD.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("doc_id", F.col(path).cast("string").alias("path"), text.alias("text")).where(F.col("text").rlike(CANDIDATE))
-    rows = rows.select(
+    mark = F.lit(None).cast("string")
+    for m in reversed(MARKS):
+        mark = F.when(~F.contains(text, F.lit(m)), F.lit(m)).otherwise(mark)
+    plain = F.when(mark.isNull(), F.translate(text, MARKS[0], "\ufffd")).otherwise(text)  # it holds every mark
+    rows = docs.select(
         "doc_id",
-        "path",
-        F.md5(F.col("text").cast("binary")).alias("content"),
-        F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("found"),
-        F.split("text", CANDIDATE, -1).alias("gaps"),
+        F.col(path).cast("string").alias("path"),
+        F.md5(text.cast("binary")).alias("content"),
+        F.monotonically_increasing_id().alias("row"),
+        plain.alias("text"),
+        F.coalesce(mark, F.lit(MARKS[0])).alias("mark"),
     )
-    places = (
-        "aggregate(sequence(0, size(found) - 1), cast(array() as array<struct<start:bigint,end:bigint>>), (a, i) -> "
-        "array_append(a, named_struct("
-        "'start', coalesce(a[i - 1].end, 0L) + length(gaps[i]), "
-        "'end', coalesce(a[i - 1].end, 0L) + length(gaps[i]) + length(found[i]))))"
-    )
-    rows = rows.withColumn("places", F.expr(places.replace("a[i - 1]", "get(a, i - 1)")))
+    marked = F.regexp_replace("text", F.lit(CANDIDATE), F.concat(F.lit("$1$3"), "mark", F.lit("$2$4$5"), "mark"))
+    rows = rows.select("doc_id", "path", "content", "row", F.split(marked, F.col("mark"), -1).alias("ps"))  # gap, value, gap, ...
     cut = (
-        "transform(found, (v, i) -> named_struct('start', places[i].start, 'value', v, "
-        "'before', right(gaps[i], 40), 'after', left(gaps[i + 1], 20)))"
+        "if(size(ps) > 1, transform(sequence(1, size(ps) - 2, 2), i -> named_struct('gap', length(ps[i - 1]), 'value', ps[i], "
+        "'before', right(ps[i - 1], 40), 'after', left(ps[i + 1], 20))), null)"
     )
-    return rows.select("doc_id", "path", "content", F.inline(F.expr(cut)))
+    rows = rows.select("doc_id", "path", "content", "row", F.posexplode(F.expr(cut)).alias("place", "c"))
+    rows = rows.select("doc_id", "path", "content", "row", "place", "c.*")
+    earlier = Window.partitionBy("row").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)  # candidates of one text
+    done = F.coalesce(F.sum(F.col("gap") + F.length("value").cast("bigint")).over(earlier), F.lit(0))
+    return rows.withColumn("start", done + F.col("gap")).select("doc_id", "path", "content", "start", "value", "before", "after")
 
 
 def measured(found: DataFrame) -> DataFrame:
@@ -126,7 +149,7 @@ def measured(found: DataFrame) -> DataFrame:
         "placeholder": beside.rlike(PLACEHOLDERS) | low.rlike(PLACEHOLDERS),
         "known": value.rlike(rf"^(?:{PREFIXED})")
         | F.col("before").rlike("PRIVATE KEY-----$")
-        | (F.col("before").rlike("://[^\\s/:@\"']{0,30}:$") & F.col("after").startswith("@")),
+        | (F.col("before").rlike("(://|^[^\\s/:@\"']{39})[^\\s/:@\"']*:$|^[^\\s/:@\"']{39}:$") & F.col("after").startswith("@")),
     }
     return found.withColumns({k: v.cast("double") for k, v in features.items()})
 
@@ -145,9 +168,9 @@ def train_forest(labelled: DataFrame, sample_findings: int = SAMPLE_FINDINGS):
 
     The sample is the ``sample_findings`` of smallest hash of value and neighbourhood.
     """
-    known = labelled.where("label is not null").select("label", "value", "before", "after", *FEATURES)
-    known = known.orderBy(F.xxhash64("value", "before", "after"), "label").limit(sample_findings)
-    known = settle(known.select("label", *FEATURES), "labelled")
+    order = F.xxhash64("value", "before", "after").alias("order")
+    known = labelled.where("label is not null").select("label", order, *FEATURES)  # numbers alone meet in one task
+    known = settle(known.orderBy("order", "label", *FEATURES).limit(sample_findings).drop("order"), "labelled")
     if known.select("label").distinct().count() < 2:
         return None
     rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(known)
@@ -168,16 +191,20 @@ def scored(findings: DataFrame, forest) -> DataFrame:
     return rows.withColumn("score", F.when(sure, 1.0).otherwise(F.col("score"))).select(*findings.columns, "score")
 
 
-def scan_secrets(docs: DataFrame, *, path: str = "source") -> DataFrame:
+def scan_secrets(docs: DataFrame, *, path: str = "source", labelled: DataFrame | None = None) -> DataFrame:
     """Every candidate of ``docs [doc_id, text, source]`` with the forest's verdict.
 
+    ``labelled [value, path, before, after, label]``, where given, are findings with label 1 or 0 to train
+    from; else ``rule_label`` labels the candidates of ``docs``.
+
     ``[doc_id, path, content, start, value, score, secret]``. Rows without a
     candidate, null and empty texts among them, give no row. Repeated rows and null
     ids are carried along; a null path is no test path. Other columns are ignored; an empty table
     gives an empty result.
     """
     found = settle(measured(find_candidates(docs, path)), "findings")
-    forest = train_forest(found.withColumn("label", rule_label()))
+    taught = found.withColumn("label", rule_label()) if labelled is None else measured(labelled)
+    forest = train_forest(taught)
     rows = scored(found, forest).withColumn("secret", F.col("score") >= SECRET_FROM)
     return rows.select("doc_id", "path", "content", "start", "value", "score", "secret")
 
@@ -201,4 +228,4 @@ def hide_secrets(docs: DataFrame, *, path: str = "source", mark: str = "[SECRET]
     if size is not None and size in docs.columns:
         kind = docs.schema[size].dataType
         out = out.withColumn(size, F.when(F.col(v).isNull(), F.col(size)).otherwise(F.length("text")).cast(kind))
-    return out.select(docs.columns)
+    return out.select(*every_column(docs))
