@@ -9,9 +9,11 @@ import zlib
 from collections import Counter
 
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tokentally.llm import bytecnn, licenses, linefreq, pii, secret_scan
+from tokentally.llm.catalog import WORD_BPE
 from tokentally.llm.common import table
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -272,6 +274,44 @@ def test_blocks_of_several_lines_are_removed(spark):
     assert all(r.kept and r.n_removed_words == 0 for i, r in got.items() if i >= 500)
 
 
+def plain_lines(rows, limit, least_left):
+    """Words in lines that more than ``limit`` different texts of a host hold, and the verdict, text by text."""
+    def normal(line):
+        return " ".join(WORD.findall(re.sub("[0-9]+", "0", line.lower())))
+
+    held = {}
+    for _, text, host in rows:
+        for line in {normal(x) for x in (text or "").split("\n")} - {""}:
+            held.setdefault((host, line), set()).add(text)
+    out = Counter()
+    for i, text, host in rows:
+        lines = [normal(x) for x in (text or "").split("\n")]
+        gone = sum(len(x.split(" ")) for x in lines if x and len(held[host, x]) > limit)
+        n, *_, failed = plain_counts(text or "")
+        out[i, gone, not failed and 100 * (n - gone) >= least_left * n] += 1
+    return out
+
+
+def test_removed_words_and_verdicts_equal_the_plain_rule(spark, small):
+    """Menus of many lines, digits that differ, copies, empty texts and null hosts; and a table as it is."""
+    r, rows = random.Random(7), []
+    menu = [" ".join(f"menu{'abcdefghij'[j]}{'qrstuv'[k]}" for k in range(6)) for j in range(5)]
+    for i in range(300):
+        lines = [own_line(i, 0)] + r.choice([[], menu[:1], menu, menu * 2]) + ["", f"Page {i}"] + [own_line(i % 40, 1)] * r.randrange(3)
+        r.shuffle(lines)
+        rows.append((i, "\n".join(lines), r.choice(["a", "b", None])))
+    rows += [(i, f"Page {i}\n" + "\n".join(menu * 8), "same menu") for i in range(400, 440)]
+    rows += [(500 + i, t, h) for i, (t, h) in enumerate([(None, "a"), ("", None), (rows[0][1], "a"), (rows[1][1], rows[1][2])])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    for limit, least in ((10, 30), (30, 60)):
+        got = linefreq.line_quality(df, max_documents=limit, least_left_percent=least).collect()
+        assert Counter((x.doc_id, x.n_removed_words, x.kept) for x in got) == plain_lines(rows, limit, least)
+        assert not any(x.kept for x in got if 400 <= x.doc_id < 440)  # depleted: the digits of the first line are no difference
+    rows = [(x.doc_id, x.text, x.source) for x in small.collect()]
+    got = linefreq.line_quality(small, max_documents=5).collect()
+    assert Counter((x.doc_id, x.n_removed_words, x.kept) for x in got) == plain_lines(rows, 5, linefreq.LEAST_LEFT_PERCENT)
+
+
 def test_frequent_lines_leave_the_text(spark, edge):
     """Blank lines, order, other columns and texts without such a line stay; the pipeline's stage does it too."""
     banner = [" ".join(f"{'abc'[j]}menu{w}" for w in "pqrst") for j in range(3)]
@@ -309,6 +349,7 @@ FORMS = {  # text, and the secret in it
     "db_password: correcthorse": "correcthorse",
     'api_key =  "9fK2xQ7bLm4Z"': "9fK2xQ7bLm4Z",
     'secret =\t"9fK2xQ7bLm4Z"': "9fK2xQ7bLm4Z",
+    'write to a@mail6.example.com token = "b44e15e09fd311c3cf3163b66d5a9875b883d8ce" of': "b44e15e09fd311c3cf3163b66d5a9875b883d8ce",
 }
 
 
@@ -393,6 +434,125 @@ def test_chunks_cover_every_byte():
         assert all(b - a == bytecnn.STEP for a, b in zip(starts, starts[1:]))
 
 
+def test_pooled_equals_a_plain_convolution():
+    """Every filter at every byte of a text of several blocks, one product at a time."""
+    r = random.Random(3)
+    for n in (0, 1, 5, 1023, 1024, 1025, 2000, 55_000):
+        text = bytes(r.randrange(256) for _ in range(n))
+        net = bytecnn.Network(seed=n)
+        net.w["bias"] = bytecnn.np.random.default_rng(n).normal(size=bytecnn.FILTERS)
+        embedded = net.w["embed"][list(text) + [0] * (bytecnn.WIDTH - 1 + 1)]
+        taps = net.w["taps"]
+        plain = sum(embedded[j : j + n + 1] @ taps[j] for j in range(bytecnn.WIDTH))
+        starts = bytecnn.chunk_starts(n + 1)
+        want = [bytecnn.np.maximum(plain[s : s + bytecnn.CHUNK].max(0) + net.w["bias"], 0) for s in starts]
+        assert bytecnn.np.allclose(net.pooled(text, net.tables()), want, atol=1e-4)
+        top, windows = net.winners(text, net.tables())
+        assert bytecnn.np.allclose(bytecnn.np.maximum(top, 0), want, atol=1e-4)
+        assert windows.shape == (len(starts), bytecnn.FILTERS, bytecnn.WIDTH)
+
+
+def test_gradient_equals_finite_differences(monkeypatch):
+    np = bytecnn.np
+    r = np.random.default_rng(5)
+    net = bytecnn.Network()
+    monkeypatch.setattr(bytecnn.Network, "tables", lambda self: np.einsum("be,wef->wbf", self.w["embed"], self.w["taps"]))
+    text, label = bytes(r.integers(97, 123, 3000, dtype=np.uint8)), 1
+
+    def loss():
+        p = net.probability(net.combine(net.pooled(text, net.tables()), len(text))[None])[0]
+        return -np.log(p)
+
+    total = {k: np.zeros_like(v) for k, v in net.w.items()}
+    net.gradient(text, label, net.tables(), total)
+    for name, slope in total.items():
+        flat, seen = net.w[name].reshape(-1), 0
+        for i in np.argsort(-np.abs(slope.reshape(-1)))[:12]:
+            kept, step = flat[i], 1e-6
+            flat[i] = kept + step
+            up = loss()
+            flat[i] = kept - step
+            down = loss()
+            flat[i] = kept
+            assert np.isclose((up - down) / (2 * step), slope.reshape(-1)[i], rtol=2e-3, atol=1e-6), name
+            seen += 1
+        assert seen
+
+
+def test_the_sample_is_bounded_by_bytes(spark):
+    rows = [(i, "x" * (10 * (i + 1))) for i in range(40)] + [(99, "y" * 100_000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id bigint, quality int")
+    seen = []
+    plain = bytecnn.train
+    try:
+        bytecnn.train = lambda rows: seen.append(rows) or plain(rows, steps=1)
+        bytecnn.fit(docs, labels)
+        bytecnn.fit(docs, labels, sample_bytes=2_000)
+        bytecnn.fit(docs, labels, sample_bytes=1)
+    finally:
+        bytecnn.train = plain
+    learned = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert [len(x) for x in seen][0] == len(learned) and len(seen) == 2
+    assert 0 < sum(len(t) for t, _ in seen[1]) <= 2_000 and max(len(t) for t, _ in seen[1]) < 400
+
+
+NAMED = "`a.b` int, `select` string, `x``y` int, `pos` int, `start` bigint, `l.h` string, `host` string"
+
+
+@pytest.mark.parametrize("which", ["edge", "nothing"])
+def test_pipeline_of_hard_tables(spark, request, which):
+    """Dots, back-ticks and reserved words in names; null, empty and long texts; repeated rows; no row at all."""
+    docs = request.getfixturevalue(which)
+    more = ", ".join(f"cast(1 as {c.split()[-1]}) as {c.split()[0]}" for c in NAMED.split(", "))
+    odd = docs.drop("score", "kept").selectExpr("*", *more.split(", "))
+    kept, d = odd, "/root/testdata/sf0.001"
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = corpus_pipeline.settle(stage(spark, kept, d), name)
+        assert out.columns == odd.columns, name
+        kept = out if out.count() or not odd.count() else kept  # the classifier may refuse every odd text
+    got = corpus_pipeline.STAGES[-1][1](spark, kept, d).collect()
+    ids = {r.doc_id for r in odd.select("doc_id").collect()}
+    assert {r.doc_id for r in got} <= ids and (which == "edge") == bool(got)
+
+
+def test_pipeline_equals_plain_stages(spark):
+    """``run`` against brute-force versions of the rules, copies, secrets and pieces; the trained scores are taken as they are."""
+    d = "/root/testdata/sf0.001"
+    docs = table(spark, d, "documents")
+    good = {r.doc_id for r in bytecnn.score_quality(docs, table(spark, d, "labels")).where("predicted = 1").collect()}
+    rows = [(r.doc_id, r.text, r.source) for r in docs.collect() if r.doc_id in good]
+    verdict = plain_lines(rows, linefreq.MAX_DOCUMENTS, linefreq.LEAST_LEFT_PERCENT)
+    assert not any(gone for _, gone, _ in verdict)  # no line of the small table is above the limit, so texts stay
+    rows = [(i, t) for i, t, _ in rows if (i, 0, True) in verdict]
+    sets = {}
+    for i, t in rows:
+        w = t.encode().lower().split()
+        sets[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
+    up = {i: i for i in sets}
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i in sets:
+        for j in sets:
+            both = len(sets[i] & sets[j])
+            if i < j and 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = sorted((root(i), root(j)))
+                up[b] = a
+    rows = [(i, re.sub(r'(token = ")[0-9a-f]{40}"', r'\1[SECRET]"', t)) for i, t in rows if root(i) == i]
+    coder = Tokenizer.from_file(WORD_BPE)
+    want = Counter()
+    for i, t in rows:
+        ids = coder.encode(t, add_special_tokens=False).ids + [0]
+        for p, a in enumerate(range(0, len(ids), 2048)):
+            want[i, p, a, len(ids[a : a + 2048]), zlib.crc32(bytecnn.np.array(ids[a : a + 2048], "<u4").tobytes())] += 1
+    got = corpus_pipeline.run(spark, d).collect()
+    assert Counter(tuple(r)[:5] for r in got) == want
+
+
 def test_pipeline_keeps_columns(spark):
     d = "/root/testdata/sf0.001"
     docs = table(spark, d, "documents")

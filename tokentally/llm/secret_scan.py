@@ -13,6 +13,9 @@ bare runs among it, stays unlabelled and the forest decides it.
 
 from __future__ import annotations
 
+import hashlib
+import string
+
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -22,7 +25,7 @@ from pyspark.sql import functions as F
 from tokentally.llm.common import every_column, free_name, settle
 
 #: Bounds of the training sample; forest size; score from which a candidate is a secret.
-SAMPLE_FINDINGS, TREES, DEPTH, SECRET_FROM = 20_000, 20, 5, 0.5
+SAMPLE_FINDINGS, TREES, DEPTH, SECRET_FROM = 20_000, 20, 6, 0.5
 
 # Names of secrets, key formats, placeholder words, and common words for dictionary coverage.
 NAMES = (
@@ -61,6 +64,32 @@ CANDIDATE = "|".join(
 #: Characters that no text should hold (Unicode noncharacters): the first that a text lacks marks its candidates.
 MARKS = ("﷐", "﷑", "﷒", "﷓")
 
+
+def _made(alphabet: str, n: int, salt: str) -> str:
+    """``n`` characters of ``alphabet`` that look random and are always the same."""
+    return "".join(alphabet[b % len(alphabet)] for i in range(1 + n // 32) for b in hashlib.sha256(f"{salt}{i}".encode()).digest())[:n]
+
+
+_ANY = string.ascii_letters + string.digits
+#: Known formats are rarer than a sample can show, so the forest also learns from findings made of them: prefix and
+#: length of what follows, drawn with several salts. Beside a placeholder word they are none.
+_FORMATS = [("AKIA", 16), ("ASIA", 16), ("ghp_", 36), ("gho_", 36), ("github_pat_", 60), ("glpat-", 20), ("xoxb-", 40)]
+_FORMATS += [("sk_live_", 24), ("rk_test_", 24), ("AIza", 35), ("npm_", 36)]
+
+
+def made_findings() -> list[tuple[str, str, str, float]]:
+    """``(value, before, after, label)`` of known formats, keys in PEM, passwords in URLs, and placeholders of these."""
+    out = []
+    for salt in "abcd":
+        for prefix, n in _FORMATS:
+            value = prefix + _made(string.ascii_uppercase + string.digits if prefix in ("AKIA", "ASIA") else _ANY, n, prefix + salt)
+            out += [(value, "we use ", " for it", 1.0), (value, "for example ", " here", 0.0)]
+        out.append(("\n" + _made(_ANY, 90 + ord(salt), salt) + "==\n", "-----BEGIN RSA PRIVATE KEY-----", "-----END", 1.0))
+        for n in (6, 9, 14):
+            out.append((_made(_ANY, n, salt), "see postgres://deploy:", "@db.internal/x", 1.0))
+    return out
+
+
 PLACEHOLDERS = "example|sample|dummy|placeholder|changeme|your[_ -]|xxxx|redacted|fake|test"
 DICTIONARY = (
     "the|and|for|that|with|this|from|have|not|are|was|you|your|all|can|will|one|out|about|which|their|there|when|"
@@ -146,7 +175,8 @@ def measured(found: DataFrame) -> DataFrame:
         "named": F.lower("before").rlike(rf"({NAMES})[\"']?\s*[=:]?\s*[\"']?$"),
         "assigned": F.col("before").rlike("[=:]\\s*[\"']?$"),
         "quoted": F.col("before").rlike("[\"']$") & F.col("after").rlike("^[\"']"),
-        "placeholder": beside.rlike(PLACEHOLDERS) | low.rlike(PLACEHOLDERS),
+        # a word of its own, and not the host name that stands for any (mail@example.com)
+        "placeholder": beside.rlike(rf"(?<![\w@.])(?:{PLACEHOLDERS})(?!\.(?:com|org|net|edu))") | low.rlike(PLACEHOLDERS),
         "known": value.rlike(rf"^(?:{PREFIXED})")
         | F.col("before").rlike("PRIVATE KEY-----$")
         | (F.col("before").rlike("(://|^[^\\s/:@\"']{39})[^\\s/:@\"']*:$|^[^\\s/:@\"']{39}:$") & F.col("after").startswith("@")),
@@ -166,29 +196,34 @@ def rule_label() -> Column:
 def train_forest(labelled: DataFrame, sample_findings: int = SAMPLE_FINDINGS):
     """A forest fitted to findings with their features and ``label`` 0 or 1; ``None`` unless both occur.
 
-    The sample is the ``sample_findings`` of smallest hash of value and neighbourhood.
+    The sample is the ``sample_findings`` of smallest hash of value and neighbourhood. ``made_findings``
+    are added with a tenth of the sample's weight.
     """
     order = F.xxhash64("value", "before", "after").alias("order")
     known = labelled.where("label is not null").select("label", order, *FEATURES)  # numbers alone meet in one task
     known = settle(known.orderBy("order", "label", *FEATURES).limit(sample_findings).drop("order"), "labelled")
     if known.select("label").distinct().count() < 2:
         return None
+    made = made_findings()
+    weight = max(1.0, known.count() / 10 / len(made))
+    rows = [F.struct(*[F.lit(v).alias(c) for c, v in zip(("value", "before", "after", "label"), m)]) for m in made]
+    added = labelled.sparkSession.range(1).select(F.inline(F.array(*rows))).withColumn("path", F.lit(None).cast("string"))
+    added = measured(added).select("label", *FEATURES, F.lit(weight).alias("weight"))
+    known = known.withColumn("weight", F.lit(1.0)).unionByName(added)
     rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(known)
-    forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=5, labelCol="label", featuresCol="features")
-    return forest.fit(rows.select("label", "features"))
+    forest = RandomForestClassifier(
+        numTrees=TREES, maxDepth=DEPTH, seed=5, labelCol="label", featuresCol="features", weightCol="weight", featureSubsetStrategy="all"
+    )
+    return forest.fit(rows.select("label", "features", "weight"))
 
 
 def scored(findings: DataFrame, forest) -> DataFrame:
-    """``findings`` with ``score``: the forest's, or without one the rule's label (undecided: 0.5).
-
-    Known formats, too rare for a sample to learn, have score 1 unless they are placeholders.
-    """
+    """``findings`` with ``score``: the forest's, or without one the rule's label (undecided: 0.5)."""
     if forest is None:
         return findings.withColumn("score", F.coalesce(rule_label(), F.lit(0.5)))
     rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(findings)
     rows = forest.transform(rows).withColumn("score", vector_to_array("probability")[1])
-    sure = F.expr("known = 1 and placeholder = 0")
-    return rows.withColumn("score", F.when(sure, 1.0).otherwise(F.col("score"))).select(*findings.columns, "score")
+    return rows.select(*findings.columns, "score")
 
 
 def scan_secrets(docs: DataFrame, *, path: str = "source", labelled: DataFrame | None = None) -> DataFrame:
