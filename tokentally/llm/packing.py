@@ -7,8 +7,8 @@ remains. That filling is removed from the histogram, as many times over as the c
 allow: those bins are alike. The work depends on the number of different lengths,
 at most the sequence length, not on the number of documents. Which piece goes where
 follows from its rank among the pieces of its length, so no group of pieces is ever
-gathered: each task ranks its own, and a table of counts per task and length adds the
-ranks before.
+gathered: each task ranks its own, and a table of counts per task and length, which grows
+with the tasks and so is joined by sorting and never broadcast, adds the ranks before.
 """
 
 from __future__ import annotations
@@ -97,7 +97,7 @@ def _cut(vocabulary: str, end_id: int, size: int, keep_ids: bool):
             ("doc_id", pa.int64()),
             ("piece", pa.int32()),
             ("start", pa.int64()),
-            ("length", pa.int32()),
+            ("length", pa.int64()),
             ("rank", pa.int64()),
             ("ids_crc32", pa.int64()),
             *([("ids", pa.binary())] if keep_ids else []),
@@ -127,7 +127,7 @@ def _placed(runs: dict[str, np.ndarray]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths = runs["length"]
         for batch in batches:
-            length = batch.column("length").to_numpy().astype(np.int64)
+            length = batch.column("length").to_numpy()
             rank = batch.column("rank").to_numpy() + batch.column("before").to_numpy()
             # the run of a piece: the last one of its length that starts at or before its rank
             widest = np.int64(max(int(rank.max(initial=0)), int(runs["rank"].max(initial=0))) + 1)
@@ -156,7 +156,7 @@ def pack_documents(
     pieces = settle(
         docs.mapInArrow(
             _cut(definition(vocabulary_path), end_id, size, keep_ids),
-            f"task int, doc_id bigint, piece int, start bigint, length int, rank bigint, ids_crc32 bigint{more}",
+            f"task int, doc_id bigint, piece int, start bigint, length bigint, rank bigint, ids_crc32 bigint{more}",
         ),
         "pieces",
     )
@@ -166,8 +166,8 @@ def pack_documents(
         histogram[row["length"]] = row["n"]
     earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     before = by_task.select("task", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    ranked = pieces.join(before, ["task", "length"]).select(*pieces.columns, "before")
+    ranked = pieces.join(before.hint("merge"), ["task", "length"]).select(*pieces.columns, "before")
     return ranked.mapInArrow(
         _placed(slots(plan(histogram))),
-        f"doc_id bigint, piece int, start bigint, length int, ids_crc32 bigint{more}, sequence_id bigint, offset bigint",
+        f"doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint{more}, sequence_id bigint, offset bigint",
     )

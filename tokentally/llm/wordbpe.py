@@ -4,22 +4,32 @@ The library's work on a text is the concatenation of its work on the parts betwe
 white space: its normalizer, pattern and merges never reach across. So each part is
 encoded by the library once in a process and then looked up. A-Z may be lower-cased
 first, as the tokenizer itself does, unless the text holds combining marks (then the
-library gets the whole block). Tests compare all ids with those of whole texts.
+library gets the whole block). A part that holds the literal of an added token goes to
+the library as it is, before lower-casing, and is never kept. Tests compare all ids with
+those of the library's plain call on whole texts.
 """
 
 from __future__ import annotations
 
 import re
+import sys
+from array import array
 
-import numpy as np
 from tokenizers import Tokenizer
 
 from tokentally.llm.common import blocks
 
-#: Parts kept in a process (about 200 MB); beyond that the store starts anew.
-KEPT_PARTS = 1_000_000
+#: Bytes of parts, ids and their keeping that a process holds, about. What was used in the time that half of them were
+#: filled stays when the rest goes.
+KEPT_BYTES = 80 << 20
+#: Longer parts are never kept. Each kept part takes about so many bytes beside its own and its ids.
+LONGEST_KEPT, KEEPING = 64, 150
+
+#: Slots that remember, by hash, that a part was seen; most parts of a corpus are seen once and never kept.
+SEEN = 1 << 22
 
 _LETTERS = re.compile(r"[a-zß-öø-ÿ]+")
+_MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum() and chr(b) != "'")
 _stores: dict[str, "WordEncoder"] = {}
 
 
@@ -30,55 +40,77 @@ def _byte_alphabet() -> list[str]:
     return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
 
 
+def _bytes_of(ids: list[int]) -> bytes:
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
 class WordEncoder:
     """Ids of whole texts, as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, definition: str, kept: int = KEPT_PARTS):
+    def __init__(self, definition: str, kept_bytes: int = KEPT_BYTES):
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
-        self.kept, self.store = kept, {}
+        self.kept_bytes, self.held, self.store, self.older = kept_bytes, 0, {}, {}
+        self.seen = bytearray(SEEN)
+        self.model = self.tokenizer.model
         self.alphabet = _byte_alphabet()
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.literals = re.compile("|".join(map(re.escape, added)).encode(), re.IGNORECASE) if added else None
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return _bytes_of(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _letters(self, word: str) -> bytes:
         """A word of small letters is one match of the pattern: it goes to the merges directly."""
         shown = word if word.isascii() else "".join([self.alphabet[b] for b in word.encode()])
-        return np.array([t.id for t in self.tokenizer.model.tokenize(shown)], "<u4").tobytes()
+        return _bytes_of([t.id for t in self.model.tokenize(shown)])
 
     def _part(self, part: bytes) -> bytes:
-        text = part.decode()
-        if _LETTERS.fullmatch(text):
-            return self._letters(text)
-        if text[-1] in ".," and _LETTERS.fullmatch(text[:-1]):  # the mark is a match of its own
-            word = part[:-1]
-            ids = self.store.get(word)
-            if ids is None:
-                ids = self.store[word] = self._letters(text[:-1])
-            return ids + self.encode(part[-1:])
-        return self.whole(text)
+        word = part.rstrip(_MARKS)
+        if word.isalpha() or _LETTERS.fullmatch(word.decode()):
+            if len(word) < len(part):  # a run of marks is a match of its own
+                return self._found(word) + self._found(part[len(word) :])
+            return self._letters(part.decode())
+        return self.whole(part.decode())
+
+    def _found(self, part: bytes) -> bytes:
+        """The ids of a lower-cased part without white space; kept from the second time on."""
+        ids = self.store.get(part)
+        if ids is not None:
+            return ids
+        ids = self.older.get(part)
+        if ids is None:
+            ids = self._part(part)
+            if len(part) > LONGEST_KEPT:
+                return ids
+            slot = hash(part) & (SEEN - 1)
+            if not self.seen[slot]:
+                self.seen[slot] = 1
+                return ids
+        self.held += len(part) + len(ids) + KEEPING
+        self.store[part] = ids
+        return ids
 
     def encode(self, data: bytes) -> bytes:
-        if len(data) > 1 << 21:
+        if len(data) > 1 << 18:
             return b"".join([self._block(b) for b in blocks(data)])
         return self._block(data)
 
     def _block(self, data: bytes) -> bytes:
         if b"\xcc" in data or b"\xcd" in data:  # U+0300 to U+036F
             return self.whole(data.decode())
+        if self.held > self.kept_bytes // 2:
+            self.older, self.store, self.held = self.store, {}, 0
+            self.seen = bytearray(SEEN)
+        if self.literals and self.literals.search(data):  # rare: literals count before lower-casing
+            parts = data.split()
+            return b"".join([self.whole(p.decode()) if self.literals.search(p) else self._found(p.lower()) for p in parts])
         parts = data.lower().split()
-        store = self.store
-        ids = [store.get(p) for p in parts]
+        ids = list(map(self.store.get, parts))
         if None in ids:
-            if len(store) > self.kept:
-                store.clear()
-            for i, known in enumerate(ids):
-                if known is None:
-                    p = parts[i]
-                    if p not in store:
-                        store[p] = self._part(p)
-                    ids[i] = store[p]
+            ids = [self._found(p) if known is None else known for p, known in zip(parts, ids)]
         return b"".join(ids)
 
 
