@@ -176,15 +176,17 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, samp
     return train(rows) if rows else None
 
 
-def _scored(net: Network | None):
+def _scored(net: Network | None, at: int):
+    """Adds the scores of the texts in column ``at``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = net.tables() if net else None
         for batch in batches:
             scores = np.full(batch.num_rows, 0.5)
             if net and batch.num_rows:
-                texts = text_bytes(batch.column(0))
+                texts = text_bytes(batch.column(at))
                 scores = net.probability(np.stack([net.combine(net.pooled(t, tables), len(t)) for t in texts]))
-            columns = [*batch.columns[1:], pa.array(scores, pa.float64())]
+            columns = [*batch.columns, pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[f"c{i}" for i in range(len(columns))])
 
     return run
@@ -193,10 +195,11 @@ def _scored(net: Network | None):
 def _with_score(docs: DataFrame, net: Network | None, name: str) -> DataFrame:
     """``docs`` with one more column: the score of the whole ``text``."""
     ship_code(docs.sparkSession)
-    carried = docs.select(F.col("text").alias("text"), *[c.alias(f"c{i}") for i, c in enumerate(every_column(docs))])
+    carried = docs.select(*[c.alias(f"c{i}") for i, c in enumerate(every_column(docs))])
     kinds = [f.dataType for f in docs.schema] + [DoubleType()]
     schema = StructType([StructField(f"c{i}", kind) for i, kind in enumerate(kinds)])
-    return carried.mapInArrow(_scored(net), schema).toDF(*docs.columns, name)
+    at = [c.lower() for c in docs.columns].index("text")
+    return carried.mapInArrow(_scored(net, at), schema).toDF(*docs.columns, name)
 
 
 def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:

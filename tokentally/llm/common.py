@@ -2,19 +2,30 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import shutil
 import tempfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tokentally.session import fresh_path
 
 #: Texts longer than this are worked on in blocks of about this many bytes.
 BLOCK_BYTES = 1 << 20
 
+try:
+    _libc = ctypes.CDLL(None)
+except (OSError, TypeError):  # no C library to ask
+    _libc = None
+
+#: Bytes of an Arrow batch (one row may be more).
+BATCH_BYTES = 8 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 WHITE = (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")
 
 
@@ -22,7 +33,13 @@ ARCHIVE = "tokentally_code.zip"
 
 
 def ship_code(spark: SparkSession) -> None:
-    """Send this package's source to the executors, once for each context."""
+    """Send this package's source to the executors, once for each context, and bound what they get at once.
+
+    Spark's default hands a Python worker Arrow batches of 64 MB, which stand in the JVM and in the worker,
+    beside what is made of them. Unless the session sets its own bound, it is ``BATCH_BYTES``.
+    """
+    if spark.conf.get(_BATCH_CONF, None) is None:  # not set: the default counts
+        spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
     sc = spark.sparkContext
     if ARCHIVE in sc._python_includes:
         return
@@ -55,9 +72,30 @@ def free_name(columns: list[str], wish: str) -> str:
     return wish
 
 
-def text_bytes(column: pa.Array) -> list[bytes]:
-    """UTF-8 bytes of a string column; null is empty."""
-    return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]
+def every_column(df: DataFrame) -> list[Column]:
+    """The columns of ``df``, whatever characters their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def text_bytes(column: pa.Array) -> Iterator[bytes]:
+    """UTF-8 bytes of a string column, a few at a time; null is empty.
+
+    At the end of the column the process gives memory back that it has freed: Python workers
+    stay alive between tasks beside a full heap.
+    """
+    data = column.cast(pa.binary())
+    try:
+        for start in range(0, len(data), 256):
+            for text in data.slice(start, 256).to_pylist():
+                yield b"" if text is None else text
+    finally:
+        give_back()
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    if _libc is not None and hasattr(_libc, "malloc_trim"):
+        _libc.malloc_trim(0)
 
 
 def blocks(data: bytes, size: int = BLOCK_BYTES) -> Iterator[bytes]:

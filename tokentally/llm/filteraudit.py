@@ -55,10 +55,9 @@ def failed(data: bytes, characters: int) -> int:
 
 def _tested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = text_bytes(batch.column(2))
         sizes = pc.fill_null(pc.utf8_length(batch.column(2)), 0).to_pylist()
-        masks = pa.array([failed(t, n) for t, n in zip(texts, sizes)], pa.int32())
-        names = pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary())
+        found = [(failed(t, n), hashlib.sha256(t).digest()) for n, t in zip(sizes, text_bytes(batch.column(2)))]
+        masks, names = pa.array([m for m, _ in found], pa.int32()), pa.array([c for _, c in found], pa.binary())
         yield pa.RecordBatch.from_arrays([*batch.columns[:2], masks, names], names=["doc_id", "part", "mask", "content"])
 
 

@@ -30,6 +30,8 @@ COORDINATES, BEST = 1 << 16, 50
 #: Terms and queries of a block; documents and bytes of text whose sketches are held at once.
 BLOCK_TERMS, BLOCK_ITEMS = 40_000, 4_000
 HELD_DOCUMENTS, HELD_BYTES = 512, 8 << 20
+#: Sketch places of a block of documents at most (eight bytes each).
+HELD_PLACES = 4 << 20
 #: Documents scored between two looks at the threshold.
 AT_ONCE = 32
 
@@ -172,13 +174,14 @@ def _searched(queries: Queries, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rankings = [Ranking(k) for _ in queries.ids]
         held, ids, size = [], [], 0
+        most = max(1, min(HELD_DOCUMENTS, HELD_PLACES // len(queries.places)))
         for batch in batches:
             for doc_id, data in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
                 if data:
                     held.append(data)
                     ids.append(doc_id)
                     size += len(data)
-                if len(held) == HELD_DOCUMENTS or size > HELD_BYTES:
+                if len(held) >= most or size > HELD_BYTES:
                     search(Sketches(held, queries), ids, queries, rankings)
                     held, ids, size = [], [], 0
         if held:
