@@ -121,6 +121,62 @@ def test_vectors(spark):
     assert crosspolytope.embedding_duplicates(df.where("false")).count() == 0
 
 
+def near_pairs(r, d, cosine, n):
+    """Pairs of unit vectors at exactly this cosine."""
+    a = r.normal(size=(n, d))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = r.normal(size=(n, d))
+    b -= (a * b).sum(1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    return a, cosine * a + np.sqrt(1 - cosine**2) * b
+
+
+@pytest.mark.parametrize("d", [3, 32, 64, 384])
+def test_signs_lose_no_pair_at_the_threshold(d):
+    a, b = near_pairs(np.random.default_rng(d), d, 0.93, 3000)
+    x, y = crosspolytope.sign_bits(a, 12), crosspolytope.sign_bits(b, 12)
+    apart = crosspolytope.differing(x, y).sum(1)
+    assert apart.max() <= crosspolytope.most_bits(0.93)
+    if d >= 32:
+        assert (crosspolytope.differing(x[1:].copy(), y[:-1].copy()).sum(1) <= crosspolytope.most_bits(0.93)).mean() < 0.02
+
+
+def test_blocks_count_each_pair_once(spark, monkeypatch):
+    """A group of near copies dealt into many small blocks; counts are exact, rows are few."""
+    monkeypatch.setattr(crosspolytope, "MEMBERS_HELD", 16)
+    r = np.random.default_rng(4)
+    centre = r.normal(size=64)
+    group = centre + r.normal(size=(150, 64)) * 0.25  # some pairs link, some do not
+    rows = [(i, v.tolist(), 1) for i, v in enumerate([*group, *r.normal(size=(100, 64))])]
+    got = {x.vec_id: x.n_links for x in crosspolytope.embedding_duplicates(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")).collect()}
+    units = np.array([np.array(v) / np.linalg.norm(v) for _, v, _ in rows])
+    links = (units @ units.T >= 0.93).sum(1) - 1
+    assert 0 < links[:150].mean() < 149 and [got[i] for i in range(250)] == links.tolist()
+
+
+def test_a_forest_connects_what_its_edges_do():
+    r = np.random.default_rng(6)
+    for n in (2, 10, 200):
+        a, b = r.integers(0, n, (2, n // 2 + 1)) * 7
+        edges = crosspolytope.forest(a, b)
+        assert len(edges) < len(set(a) | set(b))
+
+        def parts(pairs):
+            up = {int(x): int(x) for x in [*a, *b]}
+
+            def root(x):
+                while up[x] != x:
+                    x = up[x]
+                return x
+
+            for x, y in pairs:
+                x, y = sorted((root(int(x)), root(int(y))))
+                up[y] = x
+            return {x: root(x) for x in up}
+
+        assert parts(edges) == parts(zip(a, b))
+
+
 def test_rotation_keeps_lengths():
     x = np.random.default_rng(1).normal(size=(5, 16))
     y = crosspolytope.hadamard(x)
