@@ -72,13 +72,13 @@ def fold_log(events: DataFrame) -> DataFrame:
     )
 
 
-def render(messages: DataFrame, *, learn: tuple[str, ...] = ("assistant",)) -> DataFrame:
-    """``[conv_id, formatted, turns]``: the ``messages [conv_id, message, role, text]`` of each conversation as one string.
+def place_turns(messages: DataFrame, *, learn: tuple[str, ...] = ("assistant",)) -> DataFrame:
+    """``[conv_id, message, written, start, loss_start, loss_end]``: each of ``messages [conv_id, message, role, text]`` as a turn.
 
-    ``turns`` is an array of ``<start, loss_start, loss_end>`` in order: where each turn begins in
-    ``formatted``, and the text to learn from (escaped as written, without marks), null but for the
-    roles of ``learn``. Places count code points from 0, ends are exclusive. The places are running
-    sums over the sorted messages; only the result, one string, brings a conversation into one row.
+    ``written`` is the turn with its marks, ``start`` where it begins in its conversation's string, ``loss_start``
+    and ``loss_end`` the place of the text to learn from (escaped as written, without marks), null but for the roles
+    of ``learn``. Places count code points from 0, ends are exclusive: running sums over the sorted messages. No
+    conversation is gathered, so one of any length can be written and learned from turn by turn.
     """
     head = F.concat(F.lit(START), escape(F.col("role"), role=True), F.lit(BETWEEN))
     rows = messages.withColumn("head", head).withColumn("body", escape(F.col("text")))
@@ -94,12 +94,25 @@ def render(messages: DataFrame, *, learn: tuple[str, ...] = ("assistant",)) -> D
     end = F.sum(F.length("written").cast("bigint")).over(so_far)
     placed = written.withColumn("start", end - F.length("written"))
     inner = F.col("start") + F.col("before")
-    turn = F.struct(
+    return placed.select(
+        "conv_id",
+        "message",
+        "written",
         "start",
         F.when(F.col("learned"), inner).alias("loss_start"),
         F.when(F.col("learned"), inner + F.col("inside")).alias("loss_end"),
     )
-    whole = placed.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("start", "written", turn.alias("turn")))).alias("ts"))
+
+
+def render(messages: DataFrame, *, learn: tuple[str, ...] = ("assistant",)) -> DataFrame:
+    """``[conv_id, formatted, turns]``: the turns of ``place_turns`` of each conversation as one string.
+
+    ``turns`` is an array of ``<start, loss_start, loss_end>`` in order. A conversation is one row here,
+    so it must fit into one string; ``place_turns`` has no such bound.
+    """
+    turn = F.struct("start", "loss_start", "loss_end").alias("turn")
+    placed = place_turns(messages, learn=learn).select("conv_id", F.struct("start", "written", turn).alias("t"))
+    whole = placed.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("ts"))
     return whole.select(
         "conv_id", F.array_join(F.col("ts.written"), "").alias("formatted"), F.col("ts.turn").alias("turns")
     )
