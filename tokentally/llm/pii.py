@@ -29,8 +29,10 @@ from tokentally.llm.common import settle, ship_code
 KINDS = ("email", "ip", "card", "phone")
 LABELERS = ("pattern", "shape", "gazetteer", "before", "after", "around")
 ADD_FROM = 0.5
-#: Votes that a labeler's reliability starts from.
-PRIOR = 50.0
+#: Probability of a candidate that the base rule accepted to be personal data, and of a refused one not to be.
+SURE = 0.99
+#: Votes that a labeler's reliability starts from, and the share of them in which each labeler is right.
+PRIOR, RIGHT = 50.0, (0.95, 0.7, 0.7, 0.8, 0.7, 0.7)
 
 _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9]){11,}")
@@ -200,21 +202,25 @@ def reliabilities(patterns: list[int], counts: np.ndarray, rounds: int = 50) ->
     """Vote probabilities ``[labeler, truth, vote]`` and each pattern's probability to be personal data.
 
     Votes are 1 and 2 of the last axis; a labeler without an opinion on a pattern has no part in it.
-    Each labeler starts from ``PRIOR`` votes that say it is right three times in four, so one that is
-    seldom heard, or heard on one side only, is neither believed blindly nor turned round.
+    Each labeler starts from ``PRIOR`` votes of which ``RIGHT`` say it is right, so one that is
+    seldom heard, or heard on one side only, is neither believed blindly nor turned round. What the
+    base rule accepted or refused (a check digit, a range) anchors the estimate: the other labelers are
+    measured by it, and the candidates that it did not test are judged by them.
     """
     found = np.array([_unpack(p)[0] for p in patterns])
-    belief = np.clip(0.5 + 0.2 * ((found == 1).sum(1) - (found == 2).sum(1)), 0.05, 0.95)
-    prior = PRIOR * np.array([[0, 0.25, 0.75], [0, 0.75, 0.25]])
-    table = np.zeros((len(LABELERS), 2, 3))
+    right = np.array(RIGHT)
+    prior = PRIOR * np.stack([np.stack([0 * right, 1 - right, right], 1), np.stack([0 * right, right, 1 - right], 1)], 1)
+    table, share = prior / PRIOR, np.array([0.5, 0.5])
     for _ in range(rounds):
+        table[:, :, 0] = 1
+        logs = np.log(share)[:, None] + sum(np.log(table[i][:, found[:, i]]) for i in range(len(LABELERS)))
+        belief = 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -50, 50)))
+        belief = np.choose(found[:, 0], (belief, SURE, 1 - SURE))  # what the base rule tested is known
         weight = np.stack([counts * (1 - belief), counts * belief])
+        share = (weight.sum(1) + 1) / (weight.sum() + 2)
         for i, truth, vote in product(range(len(LABELERS)), (0, 1), (1, 2)):
-            table[i, truth, vote] = weight[truth][found[:, i] == vote].sum() + prior[truth, vote]
+            table[i, truth, vote] = weight[truth][found[:, i] == vote].sum() + prior[i, truth, vote]
         table[:, :, 1:] /= table[:, :, 1:].sum(2, keepdims=True)
-        table[:, :, 0] = 1
-        logs = np.zeros((2, len(patterns))) + sum(np.log(table[i][:, found[:, i]]) for i in range(len(LABELERS)))
-        belief = 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -50, 50)))
     return table, belief
 
 
