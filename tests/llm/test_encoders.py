@@ -14,7 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tokentally.llm import bitplane, bytebpe, packing, wordbpe
+from tokentally.llm import bitplane, bytebpe, common, packing, wordbpe
 from tokentally.llm.catalog import BYTE_RANKS, WORD_BPE
 from tokentally.session import fresh_path
 
@@ -33,6 +33,20 @@ def rows_of(df):
     return [(r.doc_id, r.text or "") for r in df.select("doc_id", "text").collect()]
 
 
+def test_arrow_batches_are_bounded_unless_the_session_says_otherwise(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    try:
+        spark.conf.unset(key)
+        common.ship_code(spark)
+        assert spark.conf.get(key) == str(common.BATCH_BYTES)
+        spark.conf.set(key, "1m")
+        common.ship_code(spark)
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.set(key, before or str(common.BATCH_BYTES))
+
+
 def test_word_parts_equal_whole_texts():
     coder, r = wordbpe.WordEncoder(wordbpe.definition(WORD_BPE), kept_bytes=20_000), random.Random(1)
     bits = list("aAbBéÉßsS'tTrRe .,!?0123٣½ \t\n\x0b\x0c\x1c\x85\xa0　WwǰİıΣσςÅ̧̊ñ漢字한ﬁ😀‍-_\"“”")
