@@ -27,6 +27,8 @@ CHUNK, STEP = 1024, 768
 #: Bounds of the training sample (rows, and bytes of their texts), training steps whatever its size, and the score
 #: from which a text is good.
 SAMPLE_ROWS, SAMPLE_BYTES, STEPS, GOOD_FROM = 4000, 64 << 20, 1250, 0.7
+#: Bytes of text that training goes through at most, whatever it samples: samples of long texts get fewer steps.
+TRAIN_BYTES, LEAST_STEPS = 512 << 20, 100
 #: Weight decay.
 DECAY = 1e-3
 #: Texts are convolved this many chunk steps at a time.
@@ -124,6 +126,8 @@ class Network:
 
 def train(rows: list[tuple[bytes, int]], steps: int = STEPS, batch: int = 32, rate: float = 4e-3) -> Network:
     """Fit to ``(text, label)`` by Adam; the same rows give the same weights."""
+    mean = sum(len(text) for text, _ in rows) / len(rows) + 1
+    steps = min(steps, max(LEAST_STEPS, int(TRAIN_BYTES / (batch * mean))))
     net, r = Network(), np.random.default_rng(11)
     first = {k: np.zeros_like(v) for k, v in net.w.items()}
     second = {k: np.zeros_like(v) for k, v in net.w.items()}
