@@ -135,10 +135,10 @@ def near_pairs(r, d, cosine, n):
 def test_signs_lose_no_pair_at_the_threshold(d):
     a, b = near_pairs(np.random.default_rng(d), d, 0.93, 3000)
     x, y = crosspolytope.sign_bits(a, 12), crosspolytope.sign_bits(b, 12)
-    apart = crosspolytope.differing(x, y).sum(1)
+    apart = crosspolytope.differing(x, y).sum(1, dtype=int)
     assert apart.max() <= crosspolytope.most_bits(0.93)
     if d >= 32:
-        assert (crosspolytope.differing(x[1:].copy(), y[:-1].copy()).sum(1) <= crosspolytope.most_bits(0.93)).mean() < 0.02
+        assert (crosspolytope.differing(x[1:].copy(), y[:-1].copy()).sum(1, dtype=int) <= crosspolytope.most_bits(0.93)).mean() < 0.02
 
 
 def test_blocks_count_each_pair_once(spark, monkeypatch):

@@ -98,7 +98,7 @@ def sign_bits(unit: np.ndarray, tables: int) -> np.ndarray:
 
 def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """In how many bits 64-bit numbers differ."""
-    return np.bitwise_count((a ^ b).view(np.uint64)).astype(np.int64)
+    return np.bitwise_count((a ^ b).view(np.uint64))
 
 
 def most_bits(threshold: float) -> float:
@@ -148,17 +148,19 @@ def _likely(most: float):
             (a, size_a, at_a), (b, size_b, at_b) = sides
             pairs = size_a * size_b
             part = np.cumsum(pairs) // PAIRS_AT_ONCE
+            near_a, near_b = np.zeros(len(a[0]), bool), np.zeros(len(b[0]), bool)
             for some in np.split(np.arange(len(pairs)), np.flatnonzero(np.diff(part)) + 1):
                 row = np.repeat(some, pairs[some])
                 place = np.arange(len(row)) - np.repeat(np.cumsum(pairs[some]) - pairs[some], pairs[some])
                 i, j = at_a[row] + place // size_b[row], at_b[row] + place % size_b[row]
-                apart = differing(a[1][i], b[1][j]) + differing(a[2][i], b[2][j])
+                apart = differing(a[1][i], b[1][j]) + differing(a[2][i], b[2][j])  # 128 at most
                 near = np.flatnonzero((apart <= most) & (a[0][i] != b[0][j]))
-                if not len(near):
-                    continue
-                found = np.stack([np.concatenate([row[near]] * 2), np.concatenate([a[0][i[near]], b[0][j[near]]])])
-                rows, nodes = np.unique(found, axis=1)
-                yield pa.RecordBatch.from_arrays([*[batch.column(c).take(pa.array(rows)) for c in range(4)], pa.array(nodes)], names=names)
+                near_a[i[near]] = True
+                near_b[j[near]] = True
+            rows = np.arange(len(pairs))
+            rows = pa.array(np.concatenate([np.repeat(rows, size_a)[near_a], np.repeat(rows, size_b)[near_b]]))
+            nodes = pa.array(np.concatenate([a[0][near_a], b[0][near_b]]))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c).take(rows) for c in range(4)], nodes], names=names)
 
     return run
 
