@@ -9,6 +9,8 @@ import zlib
 from collections import Counter
 
 import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -389,6 +391,14 @@ def test_labelled_findings_teach(spark):
     assert got == {0: False, 1: False, 2: True, 3: True}
 
 
+def test_secrets_after_an_observation(spark, small):
+    """A session that has observed a query cannot be serialized; the model must not carry it."""
+    seen = Observation()
+    small.observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 200
+    assert secret_scan.scan_secrets(small).where("secret").count() > 0
+
+
 def test_strong_bare_tokens_are_not_taught(spark):
     texts = ["run wJalrXUtnF7MDENGbPxRfiCYk9zQ now", "see 1234567890123456 there", "the word-word-word-word-2 is"]
     df = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id bigint, text string, source string")

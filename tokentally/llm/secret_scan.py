@@ -214,7 +214,8 @@ def train_forest(labelled: DataFrame, sample_findings: int = SAMPLE_FINDINGS):
     forest = RandomForestClassifier(
         numTrees=TREES, maxDepth=DEPTH, seed=5, labelCol="label", featuresCol="features", weightCol="weight", featureSubsetStrategy="all"
     )
-    return forest.fit(rows.select("label", "features", "weight"))
+    # the copy leaves the training summary behind, which holds the session and would be sent with the model
+    return forest.fit(rows.select("label", "features", "weight")).copy()
 
 
 def scored(findings: DataFrame, forest) -> DataFrame:
