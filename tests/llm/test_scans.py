@@ -396,7 +396,10 @@ def test_secrets_after_an_observation(spark, small):
     seen = Observation()
     small.observe(seen, F.count(F.lit(1)).alias("n")).collect()
     assert seen.get["n"] == 200
-    assert secret_scan.scan_secrets(small).where("secret").count() > 0
+    forms = spark.createDataFrame([(i, t, "notes") for i, t in enumerate(FORMS)], "doc_id bigint, text string, source string")
+    found = secret_scan.measured(secret_scan.find_candidates(small.select("doc_id", "text", "source").union(forms)))
+    forest = secret_scan.train_forest(found.withColumn("label", secret_scan.rule_label()))
+    assert forest is not None and len(secret_scan.scored(found, forest).where("score >= 0.5").collect()) >= 5
 
 
 def test_strong_bare_tokens_are_not_taught(spark):
