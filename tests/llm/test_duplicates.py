@@ -55,6 +55,42 @@ def test_chains_are_followed(spark):
     assert sorted(map(tuple, got.collect()), key=repr) == all_pairs(rows, 2)
 
 
+def test_pieces_of_a_frequent_key_share_tasks(spark, monkeypatch):
+    """A large group of near copies is cut into many pieces; Python steps run in no more tasks than a shuffle has."""
+    files, settle = {}, minhash.settle
+
+    def counted(df, name):
+        written = settle(df, name)
+        files[name] = max(files.get(name, 0), len(written.inputFiles()))
+        return written
+
+    monkeypatch.setattr(minhash, "settle", counted)
+    adaptive = "spark.sql.adaptive."
+    conf = {
+        adaptive + "coalescePartitions.enabled": "false",
+        adaptive + "advisoryPartitionSizeInBytes": "1k",
+        adaptive + "skewJoin.skewedPartitionThresholdInBytes": "1k",
+        adaptive + "skewJoin.skewedPartitionFactor": "1.01",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.files.maxPartitionBytes": "32k",
+        "spark.sql.files.openCostInBytes": "1k",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    words = [f"{i * 7919:x}" for i in range(900)]
+    rows = [(i, " ".join([*words, f"own{i}"])) for i in range(300)] + [(300, "another text")]
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+        got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, shingle_words=2).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == {i: 0 if i < 300 else 300 for i in range(301)}
+    shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert files["likely"] <= shuffled and files["links"] <= shuffled
+
+
 def test_nothing(nothing):
     assert minhash.near_duplicates(nothing).count() == 0
 
@@ -72,6 +108,17 @@ def test_components(spark):
     got = {r.node: r.comp for r in graph.connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert len({got[i] for i in range(41)}) == 1 and got[100] == got[200] != got[0]
     assert graph.connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+    loops = graph.connected_components(spark.createDataFrame([(1, 1), (2, 2)], "a bigint, b bigint"))
+    assert sorted(map(tuple, loops.collect())) == [(1, 1), (2, 2)]
+
+
+def test_components_write_few_tables(spark, monkeypatch):
+    """One round of one path: its edges, parents, their roots, the labels and the edges left; no table of nodes without work."""
+    names, settle = [], graph.settle
+    monkeypatch.setattr(graph, "settle", lambda df, name: (names.append(name), settle(df, name))[1])
+    got = graph.connected_components(spark.createDataFrame([(1, 2), (1, 3)], "a bigint, b bigint"))
+    assert sorted(map(tuple, got.collect())) == [(1, 1), (2, 1), (3, 1)]
+    assert names == ["edges", "parents", "jumped", "labels", "edges"]
 
 
 def vectors():

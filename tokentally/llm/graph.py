@@ -20,16 +20,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """
     edges = settle(edges.select("a", "b").distinct(), "edges")
     nodes = edges.select(F.col("a").alias("node")).union(edges.select(F.col("b").alias("node")))
-    labels = settle(nodes.distinct().withColumn("comp", F.col("node")), "labels")
-    while True:
+    labels = nodes.distinct().withColumn("comp", F.col("node"))
+    while not edges.where("a <> b").isEmpty():
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
         both = both.union(both.select("v", "u")).where("u <> v")
         parents = settle(
             both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("p")),
             "parents",
         )
-        if parents.isEmpty():
-            return labels
         while True:
             up = parents.select(F.col("u").alias("p"), F.col("p").alias("q"))
             jumped = settle(
@@ -54,3 +52,4 @@ def connected_components(edges: DataFrame) -> DataFrame:
             .distinct(),
             "edges",
         )
+    return labels

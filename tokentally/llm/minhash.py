@@ -261,6 +261,15 @@ def _links(size: int, percent: int):
     return run
 
 
+def _few_tasks(joined: DataFrame) -> DataFrame:
+    """``joined`` in as many tasks as the session shuffles to, at most.
+
+    Adaptive execution cuts the partitions of a frequent key into many pieces. A Python task
+    takes some 50 ms whatever it reads, so pieces are dealt to tasks, neighbours together.
+    """
+    return joined.coalesce(int(joined.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def near_duplicates(
     docs: DataFrame, *, shingle_words: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
@@ -288,8 +297,9 @@ def near_duplicates(
     shared = settle(placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"), "shared")
     members = settle(placed.join(shared, "bucket").select("bucket", "node"), "members")
     needed = members.select("node").distinct().join(classes.select("node", "doc_id"), "node")
-    texts = settle(_needed_texts(docs, settle(needed, "needed"), shingle_words, bands * rows, percent), "texts")
-    comps = _components(members, texts, shingle_words, percent, bands * rows)
+    needed = settle(needed, "needed")
+    texts = settle(_needed_texts(docs, needed, shingle_words, bands * rows, percent), "texts")
+    comps = _components(members, needed, texts, shingle_words, percent, bands * rows)
     reach = classes.select("node", F.col("doc_id").alias("least")).join(comps, "node", "left")
     reach = settle(reach.select("node", "least", F.coalesce("comp", "node").alias("comp")), "reach")
     smallest = settle(reach.groupBy("comp").agg(F.min("least").alias("component_id")), "smallest")
@@ -309,9 +319,9 @@ def _needed_texts(docs: DataFrame, needed: DataFrame, size: int, bins: int, perc
     return named.join(needed.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
-def _components(members: DataFrame, texts: DataFrame, size: int, percent: int, bins: int) -> DataFrame:
-    """``[node, comp]`` over the classes that share buckets; stars until nothing is left to test."""
-    assigned = settle(members.select("node").distinct().withColumn("comp", F.col("node")), "assigned")
+def _components(members: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, percent: int, bins: int) -> DataFrame:
+    """``[node, comp]`` over the classes ``nodes`` that share buckets; stars until nothing is left to test."""
+    assigned = nodes.select("node", F.col("node").alias("comp"))
     members = members.withColumn("comp", F.col("node")).withColumn("done", F.lit(False))
     ta = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     tb = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
@@ -331,7 +341,8 @@ def _components(members: DataFrame, texts: DataFrame, size: int, percent: int, b
         found = "a binary, b binary, ca binary, cb binary"
         if per:
             held = _blocks(members, marks, MEMBERS_HELD, "members").join(_blocks(centres, marks, CENTRES_HELD, "centres"), "bucket")
-            pairs = held.select("centres", "members").mapInArrow(_likely_in_blocks(percent, bins), found).distinct()
+            held = _few_tasks(held.select("centres", "members"))
+            pairs = held.mapInArrow(_likely_in_blocks(percent, bins), found).distinct()
         else:
             star = centres.select("bucket", F.col("node").alias("a"), F.col("comp").alias("ca"))
             pairs = settle(
@@ -341,21 +352,16 @@ def _components(members: DataFrame, texts: DataFrame, size: int, percent: int, b
                 .distinct(),
                 "pairs",
             )
-            pairs = (
+            marked = (
                 pairs.join(sb, "b")
                 .join(sa, "a")
                 .where(possible)
                 .select("a", "b", "ca", "cb", "sketch_a", "sketch_b", "low_a", "low_b", "n_a", "n_b")
-                .mapInArrow(_likely(percent, bins), found)
             )
+            pairs = _few_tasks(marked).mapInArrow(_likely(percent, bins), found)
         pairs = settle(pairs, "likely")
-        links = settle(
-            pairs.join(tb, "b")
-            .join(ta, "a")
-            .select("text_a", "text_b", "ca", "cb")
-            .mapInArrow(_links(size, percent), "a binary, b binary"),
-            "links",
-        )
+        whole = pairs.join(tb, "b").join(ta, "a").select("text_a", "text_b", "ca", "cb")
+        links = settle(_few_tasks(whole).mapInArrow(_links(size, percent), "a binary, b binary"), "links")
         now = members.select("bucket", "node", "comp", "done")
         if not links.isEmpty():
             merged = connected_components(links).select(F.col("node").alias("comp"), F.col("comp").alias("into"))
