@@ -9,9 +9,11 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tokentally.llm import bitplane, bytebpe, common, packing, wordbpe
@@ -101,6 +103,28 @@ def test_token_file(spark, request, which):
     assert sorted(s for _, s, _, _ in got) == [0, *ends[:-1].tolist()]
 
 
+def test_the_encoder_gets_small_batches(spark, monkeypatch):
+    """Few texts at once stand in an executor's memory; the session's settings are as before afterwards."""
+    schema, keys = bitplane._ARROW, (common._BATCH_CONF, common._ROWS_CONF)
+
+    def sizes(*_):
+        def run(batches):
+            for batch in batches:
+                row = [0, 0, 0, batch.nbytes, "byte", [], b"", []]
+                yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
+
+        return run
+
+    monkeypatch.setattr(bitplane, "_blocks", sizes)
+    common.ship_code(spark)
+    before = [spark.conf.get(k, None) for k in keys]
+    docs = spark.range(64).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 200_000).alias("text"))
+    path = fresh_path(spark, "sizes")
+    bitplane.write_ids(docs, path, WORD_BPE)
+    assert max(r.n_ids for r in spark.read.parquet(path).select("n_ids").collect()) < 4 << 20
+    assert [spark.conf.get(k, None) for k in keys] == before
+
+
 def test_token_file_of_nothing(spark, nothing):
     assert bitplane.token_file(nothing, fresh_path(spark, "ids"), WORD_BPE).count() == 0
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tokentally.llm.common import settle, ship_code, text_bytes
+from tokentally.llm.common import settle, ship_code, small_batches, text_bytes
 from tokentally.llm.wordbpe import definition, encoder
 
 BLOCK_IDS = 1 << 16
@@ -170,7 +170,8 @@ def write_ids(
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").alias("text"))
     keys = [F.col("doc_id"), F.xxhash64("text"), F.col("text")]
     ordered = docs.repartitionByRange(*keys[:2]).sortWithinPartitions(*keys)
-    ordered.mapInArrow(_blocks(definition(vocabulary_path), end_id, kind, block_ids), BLOCK_SCHEMA).write.parquet(path)
+    with small_batches(docs.sparkSession):
+        ordered.mapInArrow(_blocks(definition(vocabulary_path), end_id, kind, block_ids), BLOCK_SCHEMA).write.parquet(path)
 
 
 def _pieces_read(with_ids: bool):
@@ -223,7 +224,8 @@ def read_digest(spark: SparkSession, path: str) -> DataFrame:
     Documents that cross blocks are joined by their pieces' checksums, not by their
     ids. ``start`` adds the sizes of all shards before, a table of one row a shard.
     """
-    pieces = settle(read_pieces(spark, path, with_ids=False), "pieces")
+    with small_batches(spark):
+        pieces = settle(read_pieces(spark, path, with_ids=False), "pieces")
     shards = spark.read.schema(BLOCK_SCHEMA).parquet(path).groupBy("shard").agg(F.sum("n_ids").alias("n"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     base = shards.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))

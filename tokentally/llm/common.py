@@ -7,6 +7,7 @@ import os
 import shutil
 import tempfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +26,7 @@ except (OSError, TypeError):  # no C library to ask
 #: Bytes of an Arrow batch (one row may be more).
 BATCH_BYTES = 8 << 20
 _BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+_ROWS_CONF = "spark.sql.parquet.columnarReaderBatchSize"
 
 WHITE = (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")
 
@@ -48,6 +50,24 @@ def ship_code(spark: SparkSession) -> None:
     sc.addPyFile(shutil.make_archive(base, "zip", root, "tokentally"))
 
 
+@contextmanager
+def small_batches(spark: SparkSession, batch_bytes: int = 2 << 20, rows: int = 512) -> Iterator[None]:
+    """Smaller Arrow batches and fewer Parquet rows at once for the actions inside, unless the session sets its own bounds.
+
+    The 4,096 texts that Spark reads at once by default stand in arrays of many MB, which make the heap grow.
+    """
+    wanted = {_BATCH_CONF: (str(BATCH_BYTES), batch_bytes), _ROWS_CONF: (None, rows)}
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    ours = {key: n for key, (default, n) in wanted.items() if before[key] in (None, default)}
+    try:
+        for key, n in ours.items():
+            spark.conf.set(key, str(n))
+        yield
+    finally:
+        for key in ours:
+            spark.conf.unset(key) if before[key] is None else spark.conf.set(key, before[key])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
