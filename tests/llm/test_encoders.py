@@ -66,6 +66,34 @@ def test_literals_give_the_librarys_ids():
     assert ids_of("end <|endoftext|> of") == [806, 49407, 539]
 
 
+def test_windows_of_texts_equal_whole_texts():
+    """Through windows that end anywhere: marks, literals, empty texts, texts in several pieces and one long part."""
+    coder, r = wordbpe.WordEncoder(wordbpe.definition(WORD_BPE), kept_bytes=20_000), random.Random(5)
+    bits = list("aAbBéÉßøÿ÷×sS'tTrRe .,!?0123٣½ \t\n\x0b\x0c\x1c\x85\xa0　WwǰİıΣσςÅ̧̊ñ漢字한ﬁ😀‍-_\"“”|&<=\x00") + ["'s", "'re", ".'", "\u3099", "か"]
+    bits += ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "<|endoftext"] * 3
+    texts = ["".join(r.choice(bits) for _ in range(r.randrange(14))) for _ in range(8000)]
+    texts += ["", "", " \n", "one,two. Three! " * 60_000, "é" * 1_500_000 + " x", "", "x\u0301 y", "a.b's-c'd" * 9]
+    want = [(n, np.array(ids_of(t), "<u4").tobytes()) for n, t in enumerate(texts)]
+    for window_bytes in (1, 2_000, wordbpe.WINDOW_BYTES):
+        got = list(coder.encode_rows(((n, t.encode()) for n, t in enumerate(texts)), window_bytes))
+        assert [texts[n][:100] for n, ids in want if got[n] != (n, ids)] == [] and len(got) == len(want)
+        assert coder.held <= 20_000
+    assert list(coder.encode_rows(iter(()))) == []
+
+
+def test_a_window_looks_a_word_up_once(monkeypatch):
+    """However often it stands in the texts and whatever marks stand beside it."""
+    coder, asked = wordbpe.WordEncoder(wordbpe.definition(WORD_BPE)), Counter()
+    letters = coder._letters
+    monkeypatch.setattr(coder, "_letters", lambda word: asked.update([word]) or letters(word))
+    table = pa.RecordBatch.from_pydict({"doc_id": range(300), "text": ["Zebrafish, (zebrafish) zebrafish!! a.b" for _ in range(300)]})
+    monkeypatch.setattr(bitplane, "encoder", lambda _: coder)
+    monkeypatch.setattr(bitplane.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda _: 0})())
+    (block,) = bitplane._blocks("", 2, "byte", bitplane.BLOCK_IDS)(iter([table]))
+    assert block.column(3).to_pylist() == [300 * (len(ids_of(table.column(1)[0].as_py())) + 1)]
+    assert asked == {"zebrafish": 1, "a": 1, "b": 1}
+
+
 def test_the_store_is_bounded_by_bytes():
     coder = wordbpe.WordEncoder(wordbpe.definition(WORD_BPE), kept_bytes=100_000)
     for i in range(200):

@@ -56,7 +56,7 @@ def split_planes(ids: np.ndarray, kind: str) -> list[bytes]:
         planes = [p.tobytes() for p in octets]
     else:
         planes = [np.packbits(o >> b & 1, bitorder="little").tobytes() for o in octets for b in range(8)]
-    while planes and not any(planes[-1]):
+    while planes and planes[-1].count(0) == len(planes[-1]):
         planes.pop()
     return planes
 
@@ -137,21 +137,21 @@ def _blocks(vocabulary: str, end_id: int, kind: str, block_ids: int):
             row = [shard, block, first, len(ids), kind, ends, payload, pieces]
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _ARROW)], schema=_ARROW)
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
-                ids, start = np.frombuffer(coder.encode(text) + end, "<u4"), 0
-                while True:
-                    part = ids[start : start + block_ids - held]
-                    last = start + len(part) == len(ids)
-                    waiting.append(part)
-                    pieces.append({"ord": ord_, "doc_id": doc_id, "start": start, "length": len(part), "last": last})
-                    held, start = held + len(part), start + len(part)
-                    if held == block_ids:
-                        yield close()
-                        waiting, held, pieces, block, first = [], 0, [], block + 1, first + block_ids
-                    if last:
-                        break
-                ord_ += 1
+        rows = (row for batch in batches for row in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))))
+        for doc_id, encoded in coder.encode_rows(rows):
+            ids, start = np.frombuffer(encoded + end, "<u4"), 0
+            while True:
+                part = ids[start : start + block_ids - held]
+                last = start + len(part) == len(ids)
+                waiting.append(part)
+                pieces.append({"ord": ord_, "doc_id": doc_id, "start": start, "length": len(part), "last": last})
+                held, start = held + len(part), start + len(part)
+                if held == block_ids:
+                    yield close()
+                    waiting, held, pieces, block, first = [], 0, [], block + 1, first + block_ids
+                if last:
+                    break
+            ord_ += 1
         if pieces:
             yield close()
 
